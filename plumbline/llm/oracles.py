@@ -17,3 +17,66 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) n_words, CAST(coalesce(n.n, 0) AS BIGI
 sha256(coalesce(it.s, '')) items_sha256, coalesce(n.n, 0) > 0 contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+_PLACES = """CASE WHEN regexp_matches(t, {p}) THEN list_transform(range(1, len(regexp_extract_all(t, {p})) + 1), lambda i: {{'s': CAST(list_sum(list_transform(string_split_regex(t, {p})[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(regexp_extract_all(t, {p})[1:i - 1], lambda x: length(x))), 0) AS BIGINT), 'n': CAST(length(regexp_extract_all(t, {p})[i]) AS BIGINT), 'v': CAST(length(regexp_extract_all(t, {p}, {g})[i]) AS BIGINT)}}) ELSE [] END"""
+
+
+def _secrets() -> str:
+    from . import secret_scan as s
+
+    places = lambda p, g=0: _PLACES.format(p="'" + p.replace("'", "''") + "'", g=g)
+    one = lambda src, rank, where="true": f"list_transform(list_filter({src}, lambda x: {where}), lambda x: {{'s': x.s, 'r': {rank}, 'e': x.s + x.n}})"
+    text = lambda src: f"array_to_string(list_transform({src}, lambda x: ['assign','access','hex','id','weak','endpoint'][x.r + 1] || ':' || x.s || ':' || x.e), ',')"
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') t FROM documents),
+m AS (SELECT doc_id, {places(s.ASSIGN, 2)} a, {places(s.ACCESS)} k, {places(s.HEX)} h, {places(s.IDENT, 2)} i, {places(s.ENDPOINT)} u FROM t),
+b AS (SELECT doc_id, list_sort(list_concat(list_concat({one('a', 0, 'x.v >= 6')}, {one('k', 1)}), {one('h', 2, 'x.n >= 24')})) base,
+ list_concat(list_concat(list_concat({one('i', 3)}, {one('a', 4, 'x.v < 6')}), {one('h', 4, 'x.n < 24')}), {one('u', 5)}) weak FROM m),
+c AS (SELECT doc_id, base, list_filter(weak, lambda w: len(list_filter(base, lambda b: b.s < w.e AND w.s < b.e)) = 0) weak FROM b),
+l AS (SELECT doc_id, base, list_filter(weak, lambda w: len(list_filter(list_concat(base, weak), lambda p: p.s < w.e + 200 AND w.s < p.e + 200 AND (w.r IN (0, 2, 4)) <> (p.r IN (0, 2, 4)))) > 0) weak FROM c)
+SELECT doc_id, CAST(len(list_filter(base, lambda x: x.r = 0)) AS BIGINT) n_assign, CAST(len(list_filter(base, lambda x: x.r = 1)) AS BIGINT) n_access, CAST(len(list_filter(base, lambda x: x.r = 2)) AS BIGINT) n_hex,
+ sha256({text('base')}) base_sha256, {text('list_sort(list_concat(base, weak))')} spans FROM l
+"""
+
+
+SQL["op10_secret_scan"] = _secrets()
+
+
+def _mixing(rounds: int = 6, keep: float = 0.5) -> str:
+    from .mixing import TARGETS
+
+    margins = ("source", "lang", "topic")
+    base = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') source, coalesce(lang, '') lang, coalesce(text, '') t, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\r\\n]+')) n FROM documents),
+m AS (SELECT doc_id, source, lang, n, CASE WHEN n = 0 THEN 'empty' WHEN contains(t, 'icensed under') THEN 'licensed' WHEN contains(t, '@') THEN 'contact' WHEN contains(t, ' | ') THEN 'table' WHEN n > 600 THEN 'long' WHEN n < 100 THEN 'short' ELSE 'prose' END topic FROM d),
+c AS (SELECT source, lang, topic, CAST(sum(n) AS DOUBLE) tokens FROM m GROUP BY ALL HAVING sum(n) > 0)"""  # noqa: S608
+    for m in margins:
+        base += f",\nt_{m} AS (SELECT {m}, pow(sum(tokens), {TARGETS[m]}) / sum(pow(sum(tokens), {TARGETS[m]})) OVER () t FROM c GROUP BY {m})"
+    base += ",\nw0 AS (SELECT c.*, tokens w, a.t t_source, b.t t_lang, e.t t_topic FROM c JOIN t_source a USING (source) JOIN t_lang b USING (lang) JOIN t_topic e USING (topic))"
+    k = 0
+    for _ in range(rounds):
+        for m in margins:
+            base += f",\nw{k + 1} AS MATERIALIZED (SELECT * REPLACE (w * t_{m} / sum(w) OVER (PARTITION BY {m}) AS w) FROM w{k})"
+            k += 1
+    base += f",\np0 AS MATERIALIZED (SELECT source, lang, topic, tokens, w / sum(w) OVER () w, false AS full_, 0.0::DOUBLE p, {keep} * sum(tokens) OVER () budget FROM w{k})"
+    for i in range(6):
+        base += f",\np{i + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, w, q >= 1 AS full_, least(q, 1.0) p, budget FROM (SELECT *, CASE WHEN full_ THEN 1.0 ELSE (budget - sum(CASE WHEN full_ THEN tokens ELSE 0 END) OVER ()) * w / sum(CASE WHEN full_ THEN 0 ELSE w END) OVER () / tokens END q FROM p{i}))"
+    return base + """
+SELECT doc_id, source, lang, topic, CAST(n AS BIGINT) n_tokens, round(coalesce(p, 0), 6) probability, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) / pow(2, 48) < coalesce(round(p, 9), 0) kept
+FROM m LEFT JOIN p6 USING (source, lang, topic)
+"""
+
+
+SQL["op6_mixing"] = _mixing()
+SQL["op8_chat_format"] = """
+WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') role, replace(coalesce(text, ''), '<|', '< |') text, coalesce(CAST(floor(turn / 64) AS BIGINT), 0) b FROM conversations),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, b ORDER BY turn NULLS FIRST, role, text) n FROM t),
+s AS (SELECT DISTINCT conv_id, role perspective FROM t WHERE role <> 'system'),
+g AS (SELECT n.conv_id, perspective, b, CAST(floor((n - 1) / 64) AS BIGINT) sub, n, role = perspective own,
+ CASE WHEN role = 'system' THEN '<|system|>' || chr(10) WHEN role = perspective THEN '<|assistant|>' || chr(10) ELSE '<|user name=' || role || '|>' || chr(10) END head, text || '<|end|>' body
+ FROM n JOIN s ON n.conv_id IS NOT DISTINCT FROM s.conv_id),
+o AS (SELECT *, CAST(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, b, sub ORDER BY n) - length(body) - 1 AS BIGINT) st FROM g)
+SELECT conv_id, perspective, b || '.' || sub part, count(*) n_turns, string_agg(head || body || chr(10), '' ORDER BY n) AS text,
+ coalesce(string_agg(st || ':' || (st + length(body)), ',' ORDER BY n) FILTER (own), '') mask, CAST(coalesce(sum(length(body)) FILTER (own), 0) AS BIGINT) n_masked
+FROM o GROUP BY conv_id, perspective, b, sub
+"""

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, token_counts, toxicity
+from pyspark.sql import functions as F
+
+from . import chat_format, decontaminate, mixing, quality, secret_scan, token_counts, toxicity
 from .common import table
 
 
@@ -22,12 +24,25 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = mixing.mix_to_targets(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+    return df.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "kept")
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_decontamination, op4_toxicity, op9_quality)}
+    return {f.__name__: f for f in (op1_token_counts, op2_decontamination, op4_toxicity, op6_mixing, op8_chat_format, op9_quality, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

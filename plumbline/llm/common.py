@@ -255,3 +255,35 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 
 def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(f, schema)
+
+
+# ---------------------------------------------------------------- blocks of pairs
+def block_pairs(members: DataFrame, keys: list[str], id_col: str, per_block: int) -> DataFrame:
+    """Each member once per block pair (bi <= bj) of its group that holds its block ``blk``.
+
+    A group of n members has ceil(n / per_block) hash blocks, so every task compares at most two
+    blocks, and a hot group's work is spread over its block pairs instead of one task.
+    """
+    counts = members.groupBy(*keys).agg(F.ceil(F.count("*") / per_block).alias("_nb"))
+    m = members.join(counts, keys)
+    m = m.withColumn("blk", F.pmod(F.xxhash64(id_col, F.lit("block")), F.col("_nb")))
+    m = m.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1)))
+    return m.withColumns({"bi": F.least("blk", "_other"), "bj": F.greatest("blk", "_other")}).drop("_nb", "_other")
+
+
+def stars(link: np.ndarray) -> np.ndarray:
+    """The least index reachable from each index over a symmetric boolean matrix."""
+    n = len(link)
+    label = np.arange(n)
+    todo = np.ones(n, bool)
+    while todo.any():
+        seed = int(np.flatnonzero(todo)[0])
+        seen = np.zeros(n, bool)
+        front = np.zeros(n, bool)
+        front[seed] = True
+        while front.any():
+            seen |= front
+            front = link[front].any(0) & ~seen
+        label[seen] = seed
+        todo &= ~seen
+    return label

@@ -80,3 +80,24 @@ SELECT conv_id, perspective, b || '.' || sub part, count(*) n_turns, string_agg(
  coalesce(string_agg(st || ':' || (st + length(body)), ',' ORDER BY n) FILTER (own), '') mask, CAST(coalesce(sum(length(body)) FILTER (own), 0) AS BIGINT) n_masked
 FROM o GROUP BY conv_id, perspective, b, sub
 """
+
+SQL["op5_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS MATERIALIZED (SELECT a.vec_id a, b.vec_id b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id AS id, vec_id AS root FROM v UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id),
+c AS (SELECT id, min(root) root FROM r GROUP BY 1), n AS (SELECT a, count(*) n FROM l GROUP BY 1)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) n_links, root component_id, vec_id = root kept FROM v JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+SQL["op3_ngram_join"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w FROM documents),
+i AS (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) i FROM d WHERE len(w) > 0),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + 4], ' ')) k FROM i),
+z AS (SELECT doc_id, count(*) n FROM s GROUP BY 1),
+p AS (SELECT x.doc_id a, y.doc_id b, count(*) n FROM s x JOIN s y ON x.k = y.k AND x.doc_id < y.doc_id GROUP BY ALL),
+h AS (SELECT a, b FROM p JOIN z za ON za.doc_id = a JOIN z zb ON zb.doc_id = b WHERE 9 * p.n >= 4 * (za.n + zb.n)),
+l AS MATERIALIZED (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
+r AS (SELECT doc_id AS id, doc_id AS root FROM d UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.id),
+c AS (SELECT id, min(root) root FROM r GROUP BY 1), n AS (SELECT a, count(*) n FROM l GROUP BY 1)
+SELECT doc_id, root class_id, CAST(coalesce(n, 0) AS BIGINT) n_links, doc_id = root kept FROM d JOIN c ON c.id = doc_id LEFT JOIN n ON n.a = doc_id
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, mixing, quality, secret_scan, token_counts, toxicity
+from . import chat_format, decontaminate, embedding_dedup, mixing, ngram_join, quality, secret_scan, token_counts, toxicity
 from .common import table
 
 
@@ -20,10 +20,18 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = mixing.mix_to_targets(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
     return df.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "kept")
@@ -42,7 +50,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_decontamination, op4_toxicity, op6_mixing, op8_chat_format, op9_quality, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_ngram_join, op4_toxicity, op5_embedding_dedup, op6_mixing, op8_chat_format, op9_quality, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -258,13 +258,17 @@ def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- blocks of pairs
-def block_pairs(members: DataFrame, keys: list[str], id_col: str, per_block: int) -> DataFrame:
+def block_pairs(members: DataFrame, keys: list[str], id_col: str, per_block: int, weight: str | None = None, per_weight: int = 1) -> DataFrame:
     """Each member once per block pair (bi <= bj) of its group that holds its block ``blk``.
 
-    A group of n members has ceil(n / per_block) hash blocks, so every task compares at most two
-    blocks, and a hot group's work is spread over its block pairs instead of one task.
+    A group of n members has ceil(n / per_block) hash blocks, or more if they hold over
+    ``per_weight`` of ``weight`` each, so every task compares at most two blocks, and a hot group's
+    work is spread over its block pairs instead of one task.
     """
-    counts = members.groupBy(*keys).agg(F.ceil(F.count("*") / per_block).alias("_nb"))
+    blocks = F.count("*") / per_block
+    if weight:
+        blocks = F.greatest(blocks, F.least(F.sum(weight) / per_weight, F.count("*").cast("double")))
+    counts = members.groupBy(*keys).agg(F.ceil(blocks).alias("_nb"))
     m = members.join(counts, keys)
     m = m.withColumn("blk", F.pmod(F.xxhash64(id_col, F.lit("block")), F.col("_nb")))
     m = m.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1)))

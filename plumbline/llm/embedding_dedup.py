@@ -37,7 +37,7 @@ def fit_centres(x: np.ndarray, k: int, steps: int = 8) -> np.ndarray:
 
 
 def unit(vectors: pa.Array) -> np.ndarray:
-    x = np.array(vectors.to_pylist(), np.float64)
+    x = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
     scale = np.abs(x).max(1, keepdims=True)
     x = x / scale
     return x / np.sqrt((x * x).sum(1, keepdims=True))
@@ -81,7 +81,7 @@ def compare(group: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.n
     return ids, added, root
 
 
-def link_vectors(vectors: DataFrame, least: float = 0.98, per_cell: int = 1000, sample_rows: int = 20_000, per_block: int = 1024) -> DataFrame:
+def link_vectors(vectors: DataFrame, least: float = 0.98, per_cell: int = 4096, sample_rows: int = 20_000, per_block: int = 1024) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row for each input row."""
     spark = prepare(vectors.sparkSession)
     v = F.col("embedding")

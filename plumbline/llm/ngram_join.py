@@ -87,9 +87,9 @@ def _measure(k: int, trees: int, depth: int, used: int):
                 d = [digest(sets[i]) for i in full]
                 sketch = (sig.reshape(len(full), -1) >> np.uint32(7)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(ids, pa.int64()), pa.array([x[0] for x in d], pa.int64()), pa.array([x[1] for x in d], pa.int64()),
+                    pa.array(ids, pa.int64()), pa.array([x[0] for x in d], pa.int64()), pa.array([x[1] for x in d], pa.int64()), pa.array([len(sets[i]) for i in full], pa.int64()),
                     pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64())), pa.array([x.tobytes() for x in sketch], pa.binary()),
-                ], ["id", "d1", "d2", "keys", "sketch"])
+                ], ["id", "d1", "d2", "size", "keys", "sketch"])
 
     return run
 
@@ -173,9 +173,12 @@ def compare(group: pa.Table, num: int, den: int) -> tuple[np.ndarray, ...]:
     group = group.take(pa.array(first))
     copies, home, blk = (group[c].to_numpy() for c in ("copies", "home", "blk"))
     sets = [np.frombuffer(x, np.uint64) for x in group["shingles"].to_pylist()]
-    both = overlap(sets).astype(np.int64)
-    size = np.array([len(s) for s in sets])
-    link = (den + num) * both >= num * (size[:, None] + size[None, :])
+    both = overlap(sets)
+    size = np.array([len(s) for s in sets], np.float64)
+    link = np.empty(both.shape, bool)
+    for i in range(0, len(sets), 128):  # in double precision, a few rows at a time
+        link[i : i + 128] = (den + num) * both[i : i + 128].astype(np.float64) >= num * (size[i : i + 128, None] + size[None, :])
+    del both
     np.fill_diagonal(link, False)
     if group["bi"][0].as_py() != group["bj"][0].as_py():
         link &= blk[:, None] != blk[None, :]
@@ -206,7 +209,7 @@ def _within(num: int, den: int):
     return run
 
 
-def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, inner: float = 0.7, outer: float = 0.45, per_block: int = 1024) -> DataFrame:
+def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, inner: float = 0.7, outer: float = 0.45, per_block: int = 1024, block_shingles: int = 250_000) -> DataFrame:
     """doc_id, class_id, n_links, kept: one row for each input row.
 
     ``threshold`` is a fraction; ``class_id`` is the least doc_id reachable by links, itself included;
@@ -216,8 +219,8 @@ def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5),
     num, den = threshold
     used = prefix_depth(trees, depth, num / den, recall)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"), "text")
-    rows = texts.mapInArrow(_measure(k, trees, depth, used), "id long, d1 long, d2 long, keys array<long>, sketch binary").checkpoint()
-    one = rows.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")).checkpoint()
+    rows = texts.mapInArrow(_measure(k, trees, depth, used), "id long, d1 long, d2 long, size long, keys array<long>, sketch binary").checkpoint()
+    one = rows.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")).checkpoint()
     nodes = one.select(F.explode("keys").alias("key"), "id", "sketch").repartition(partitions(spark), "key").sortWithinPartitions("key", "sketch", "id")
     led = nodes.mapInArrow(_nodes(inner, outer), "leader long, id long, inner long").distinct().checkpoint()
     cluster = components(led.where("inner = 1").select(F.col("leader").alias("a"), F.col("id").alias("b")))
@@ -225,10 +228,10 @@ def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5),
     guests = guests.join(cluster.select("id", F.col("root").alias("ir")), "id", "left").select(F.coalesce("lr", "leader").alias("cluster"), "id", F.coalesce("ir", "id").alias("own")).where("cluster <> own")
     alone = guests.select("cluster").distinct().select("cluster", F.col("cluster").alias("id"), F.lit(1).alias("home"))
     members = cluster.select(F.col("root").alias("cluster"), "id", F.lit(1).alias("home")).unionByName(alone).unionByName(guests.select("cluster", "id", F.lit(0).alias("home")))
-    members = members.groupBy("cluster", "id").agg(F.max("home").alias("home")).join(one.select("id", "d1", "d2", "copies"), "id").checkpoint()
+    members = members.groupBy("cluster", "id").agg(F.max("home").alias("home")).join(one.select("id", "d1", "d2", "copies", "size"), "id").checkpoint()
     wanted = members.select("id", "d1", "d2").distinct()
     sets = texts.join(wanted, "id").mapInArrow(_sets(k), "id long, shingles binary")
-    met = block_pairs(members.select("cluster", "id", "home", "copies"), ["cluster"], "id", per_block).join(sets, "id")
+    met = block_pairs(members.select("cluster", "id", "home", "copies", "size"), ["cluster"], "id", per_block, "size", block_shingles).drop("size").join(sets, "id")
     keys = ["cluster", "bi", "bj"]
     met = met.repartition(partitions(spark), *keys).sortWithinPartitions(*keys)
     found = met.mapInArrow(_within(num, den), "a long, b long, added long, copies_a long, copies_b long").checkpoint()

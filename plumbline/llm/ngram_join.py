@@ -7,11 +7,12 @@ the threshold is found with at least the target recall, and texts that share suc
 tree meet.
 
 What meets is not compared pair by pair.  In each trie node, in the order of the sorted
-signatures, the first text leads: those estimated at ``inner`` or more to it join its cluster, those
-at ``outer`` or more are guests of it, and the rest look for the next leader.  Jaccard distance is a
-metric, so two texts within 1 - threshold of each other of which one joined a leader both stand
-near it: the pair meets in that leader's cluster, if only as member and guest.  Connected leaders
-are one cluster.  Clusters are split into hash blocks, and each pair of blocks is compared exactly
+signatures, the first text leads: those whose signatures agree by ``inner`` or more join its
+cluster, those by ``outer`` or more are guests of it, and the rest look for the next leader.
+Disagreement is a metric, so a text within inner - outer of a member is at least a guest of the
+member's leader, and the pair meets in that leader's cluster: 0.35 is 3 standard deviations of a
+64-value signature above the 0.2 of a pair at the threshold.  Connected leaders are one cluster; a
+second walk of the tries finds guests once clusters are known, so hot nodes tell clusters, not pairs.  Clusters are split into hash blocks, and each pair of blocks is compared exactly
 as a product of 0/1 matrices; only counts and spanning stars leave a task, never all pairs.
 
 Null and empty texts have no shingles and link with nothing, not even each other.  A null doc_id
@@ -106,29 +107,52 @@ def lead(sketch: np.ndarray, inner: float, outer: float) -> Iterator[tuple[int,
         rest = rest[~into]
 
 
-def _nodes(inner: float, outer: float):
+def _inner(inner: float, outer: float):
+    """Links of members to their leaders, reduced to those that differ in this task."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[np.ndarray] = []
-        for group in runs(batches, ["key"]):
-            if group.num_rows < 2:
-                continue
-            ids = group["id"].to_numpy()
-            sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
-            for leader, members, guests in lead(sketch, inner, outer):
-                for kind, places in ((1, members), (0, guests)):
-                    if len(places):
-                        out.append(np.stack([np.full(len(places), ids[leader]), ids[places], np.full(len(places), kind)]))
-            if len(out) > 2000:
-                yield _table(np.unique(np.concatenate(out, 1), axis=1))
-                out = []
-        if out:
-            yield _table(np.unique(np.concatenate(out, 1), axis=1))
+        yield from _led(batches, inner, outer, lambda group, leader, members, guests: (_ids(group, leader), _ids(group, members)))
+
+    return run
+
+
+def _guests(inner: float, outer: float):
+    """(cluster, text) of guests of leaders of other clusters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(group, leader, members, guests):
+            cluster = group["cluster"].to_numpy()
+            other = guests[cluster[guests] != cluster[leader]]
+            return cluster[leader], _ids(group, other)
+
+        yield from _led(batches, inner, outer, told)
 
     return run
 
 
-def _table(x: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in x], ["leader", "id", "inner"])
+def _ids(group: pa.Table, places):
+    return group["id"].to_numpy()[places]
+
+
+def _led(batches, inner: float, outer: float, told) -> Iterator[pa.RecordBatch]:
+    out: list[np.ndarray] = []
+
+    def flush() -> pa.RecordBatch:
+        x = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *out], 1), axis=1)
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in x], ["a", "b"])
+
+    for group in runs(batches, ["key"]):
+        if group.num_rows < 2:
+            continue
+        sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(group.num_rows, -1)
+        for leader, members, guests in lead(sketch, inner, outer):
+            a, b = told(group, leader, members, guests)
+            if len(b):
+                out.append(np.stack([np.full(len(b), a), b]))
+        if len(out) > 20_000:
+            yield flush()
+    yield flush()
 
 
 def _sets(k: int):
@@ -209,7 +233,7 @@ def _within(num: int, den: int):
     return run
 
 
-def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, inner: float = 0.7, outer: float = 0.45, per_block: int = 1024, block_shingles: int = 250_000) -> DataFrame:
+def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, inner: float = 0.55, outer: float = 0.2, per_block: int = 1024, block_shingles: int = 250_000) -> DataFrame:
     """doc_id, class_id, n_links, kept: one row for each input row.
 
     ``threshold`` is a fraction; ``class_id`` is the least doc_id reachable by links, itself included;
@@ -221,12 +245,14 @@ def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5),
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"), "text")
     rows = texts.mapInArrow(_measure(k, trees, depth, used), "id long, d1 long, d2 long, size long, keys array<long>, sketch binary").checkpoint()
     one = rows.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")).checkpoint()
-    nodes = one.select(F.explode("keys").alias("key"), "id", "sketch").repartition(partitions(spark), "key").sortWithinPartitions("key", "sketch", "id")
-    led = nodes.mapInArrow(_nodes(inner, outer), "leader long, id long, inner long").distinct().checkpoint()
-    cluster = components(led.where("inner = 1").select(F.col("leader").alias("a"), F.col("id").alias("b")))
-    guests = led.where("inner = 0").join(cluster.select(F.col("id").alias("leader"), F.col("root").alias("lr")), "leader", "left")
-    guests = guests.join(cluster.select("id", F.col("root").alias("ir")), "id", "left").select(F.coalesce("lr", "leader").alias("cluster"), "id", F.coalesce("ir", "id").alias("own")).where("cluster <> own")
-    alone = guests.select("cluster").distinct().select("cluster", F.col("cluster").alias("id"), F.lit(1).alias("home"))
+
+    def nodes(reps: DataFrame, *more: str) -> DataFrame:
+        return reps.select(F.explode("keys").alias("key"), "id", "sketch", *more).repartition(partitions(spark), "key").sortWithinPartitions("key", "sketch", "id")
+
+    cluster = components(nodes(one).mapInArrow(_inner(inner, outer), "a long, b long"))
+    placed = one.join(cluster, "id", "left").select("id", "keys", "sketch", F.coalesce("root", "id").alias("cluster"))
+    guests = nodes(placed, "cluster").mapInArrow(_guests(inner, outer), "cluster long, id long").distinct().checkpoint()
+    alone = guests.select("cluster", F.col("cluster").alias("id"), F.lit(1).alias("home"))  # a cluster of one, if it has guests
     members = cluster.select(F.col("root").alias("cluster"), "id", F.lit(1).alias("home")).unionByName(alone).unionByName(guests.select("cluster", "id", F.lit(0).alias("home")))
     members = members.groupBy("cluster", "id").agg(F.max("home").alias("home")).join(one.select("id", "d1", "d2", "copies", "size"), "id").checkpoint()
     wanted = members.select("id", "d1", "d2").distinct()

@@ -6,14 +6,11 @@ tree up to ``depth`` values deep; matched prefixes are shortened from the full d
 the threshold is found with at least the target recall, and texts that share such a prefix in any
 tree meet.
 
-What meets is not compared pair by pair.  In each trie node, in the order of the sorted
-signatures, the first text leads: those whose signatures agree by ``inner`` or more join its
-cluster, those by ``outer`` or more are guests of it, and the rest look for the next leader.
-Disagreement is a metric, so a text within inner - outer of a member is at least a guest of the
-member's leader, and the pair meets in that leader's cluster: 0.35 is 3 standard deviations of a
-64-value signature above the 0.2 of a pair at the threshold.  Connected leaders are one cluster; a
-second walk of the tries finds guests once clusters are known, so hot nodes tell clusters, not pairs.  Clusters are split into hash blocks, and each pair of blocks is compared exactly
-as a product of 0/1 matrices; only counts and spanning stars leave a task, never all pairs.
+Texts that meet in a trie node are first linked where their signatures agree by ``near`` or more (0.58
+is over 4 standard deviations of a 64-value signature below a pair at the threshold); the
+components of these links are clusters.  Clusters are split into hash blocks, and each pair of
+blocks is compared exactly as a product of 0/1 matrices; only counts and spanning stars leave a
+task, never all pairs.
 
 Null and empty texts have no shingles and link with nothing, not even each other.  A null doc_id
 stands for -1.  Repeated rows are texts of their own.  Extra columns are ignored.
@@ -95,66 +92,61 @@ def _measure(k: int, trees: int, depth: int, used: int):
     return run
 
 
-def lead(sketch: np.ndarray, inner: float, outer: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(leader, its members, its guests), as places."""
-    rest = np.arange(len(sketch))
-    while len(rest) > 1:
-        same = (sketch[rest] == sketch[rest[0]]).mean(1)
-        near = (same - 1 / 256) * (256 / 255)
-        into = near >= inner
-        into[0] = True
-        yield int(rest[0]), rest[into][1:], rest[~into & (near >= outer)]
-        rest = rest[~into]
+def linked(sketch: np.ndarray, least: float) -> np.ndarray:
+    """Each text's component, over pairs whose signatures agree by ``least`` or more.
 
-
-def _inner(inner: float, outer: float):
-    """Links of members to their leaders, reduced to those that differ in this task."""
+    A pass of leaders links most of a group at once; then only texts outside the largest component
+    are compared with those of other components, so a hot group costs its outliers times its size.
+    """
+    n, width = sketch.shape
+    label = np.arange(n)
+    need = int(np.ceil(least * width))
+
+    def join(i: int, hits: np.ndarray) -> None:
+        found = np.unique(np.r_[label[i], label[hits]])
+        if len(found) > 1:
+            label[np.isin(label, found[1:])] = found[0]
+
+    rest = np.arange(n)
+    while len(rest):
+        near = (sketch == sketch[rest[0]]).sum(1) >= need
+        join(rest[0], np.flatnonzero(near))
+        rest = rest[1:][~near[rest[1:]]]
+    names, sizes = np.unique(label, return_counts=True)
+    if len(names) > 1:
+        for i in np.flatnonzero(label != names[sizes.argmax()]):
+            other = np.flatnonzero(label != label[i])
+            join(i, other[(sketch[other] == sketch[i]).sum(1) >= need])
+    return label
+
+
+def _nodes(least: float):
+    """Links of the texts of each trie node, a star for each component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _led(batches, inner, outer, lambda group, leader, members, guests: (_ids(group, leader), _ids(group, members)))
-
-    return run
-
+        out: list[np.ndarray] = []
 
-def _guests(inner: float, outer: float):
-    """(cluster, text) of guests of leaders of other clusters."""
+        def flush() -> pa.RecordBatch:
+            x = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *out], 1), axis=1)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in x], ["a", "b"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def told(group, leader, members, guests):
-            cluster = group["cluster"].to_numpy()
-            other = guests[cluster[guests] != cluster[leader]]
-            return cluster[leader], _ids(group, other)
-
-        yield from _led(batches, inner, outer, told)
+        for group in runs(batches, ["key"]):
+            if group.num_rows < 2:
+                continue
+            ids = group["id"].to_numpy()
+            sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
+            star = linked(sketch, least)
+            moved = np.flatnonzero(star != np.arange(len(ids)))
+            if len(moved):
+                out.append(np.stack([ids[moved], ids[star[moved]]]))
+            if len(out) > 20_000:
+                yield flush()
+        yield flush()
 
     return run
 
 
-def _ids(group: pa.Table, places):
-    return group["id"].to_numpy()[places]
-
-
-def _led(batches, inner: float, outer: float, told) -> Iterator[pa.RecordBatch]:
-    out: list[np.ndarray] = []
-
-    def flush() -> pa.RecordBatch:
-        x = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *out], 1), axis=1)
-        out.clear()
-        return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in x], ["a", "b"])
-
-    for group in runs(batches, ["key"]):
-        if group.num_rows < 2:
-            continue
-        sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(group.num_rows, -1)
-        for leader, members, guests in lead(sketch, inner, outer):
-            a, b = told(group, leader, members, guests)
-            if len(b):
-                out.append(np.stack([np.full(len(b), a), b]))
-        if len(out) > 20_000:
-            yield flush()
-    yield flush()
-
-
 def _sets(k: int):
     """The shingles of texts whose digest is the one that stands for their class."""
 
@@ -191,22 +183,21 @@ def overlap(sets: list[np.ndarray], budget: int = 8 << 20) -> np.ndarray:
     return out
 
 
-def compare(group: pa.Table, num: int, den: int) -> tuple[np.ndarray, ...]:
-    """(ids, copies, at home, link matrix) of a block pair, by exact Jaccard >= num / den."""
+def compare(group: pa.Table, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, copies, link matrix) of a block pair, by exact Jaccard >= num / den."""
     ids, first = np.unique(group["id"].to_numpy(), return_index=True)
     group = group.take(pa.array(first))
-    copies, home, blk = (group[c].to_numpy() for c in ("copies", "home", "blk"))
+    copies, blk = group["copies"].to_numpy(), group["blk"].to_numpy()
     sets = [np.frombuffer(x, np.uint64) for x in group["shingles"].to_pylist()]
     both = overlap(sets)
     size = np.array([len(s) for s in sets], np.float64)
     link = np.empty(both.shape, bool)
     for i in range(0, len(sets), 128):  # in double precision, a few rows at a time
         link[i : i + 128] = (den + num) * both[i : i + 128].astype(np.float64) >= num * (size[i : i + 128, None] + size[None, :])
-    del both
     np.fill_diagonal(link, False)
     if group["bi"][0].as_py() != group["bj"][0].as_py():
         link &= blk[:, None] != blk[None, :]
-    return ids, copies, home, link & ((home[:, None] + home[None, :]) > 0)
+    return ids, copies, link
 
 
 def _within(num: int, den: int):
@@ -214,26 +205,17 @@ def _within(num: int, den: int):
         for group in runs(batches, ["cluster", "bi", "bj"]):
             if group.num_rows < 2:
                 continue
-            ids, copies, home, link = compare(group, num, den)
-            if not link.any():
-                continue
-            inside = link & (home[:, None] * home[None, :] > 0)
-            added = inside @ copies
-            root = ids[stars(inside)]
+            ids, copies, link = compare(group, num, den)
+            added = link @ copies
             own = np.flatnonzero(added)
-            i, j = np.nonzero(np.triu(link & ~inside))  # member and guest: may be found in both clusters
-            a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
-            swap = ids[i] > ids[j]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.r_[ids[own], a], pa.int64()), pa.array(np.r_[root[own], b], pa.int64()), pa.array(np.r_[added[own], np.zeros(len(a), np.int64)], pa.int64()),
-                pa.array(np.r_[np.zeros(len(own), np.int64), np.where(swap, copies[j], copies[i])], pa.int64()),
-                pa.array(np.r_[np.zeros(len(own), np.int64), np.where(swap, copies[i], copies[j])], pa.int64()),
-            ], ["a", "b", "added", "copies_a", "copies_b"])
+            if len(own):
+                root = ids[stars(link)]
+                yield pa.RecordBatch.from_arrays([pa.array(x[own], pa.int64()) for x in (ids, added, root)], ["id", "added", "root"])
 
     return run
 
 
-def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, inner: float = 0.55, outer: float = 0.2, per_block: int = 1024, block_shingles: int = 250_000) -> DataFrame:
+def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, near: float = 0.58, per_block: int = 1024, block_shingles: int = 250_000) -> DataFrame:
     """doc_id, class_id, n_links, kept: one row for each input row.
 
     ``threshold`` is a fraction; ``class_id`` is the least doc_id reachable by links, itself included;
@@ -245,27 +227,17 @@ def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5),
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"), "text")
     rows = texts.mapInArrow(_measure(k, trees, depth, used), "id long, d1 long, d2 long, size long, keys array<long>, sketch binary").checkpoint()
     one = rows.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")).checkpoint()
-
-    def nodes(reps: DataFrame, *more: str) -> DataFrame:
-        return reps.select(F.explode("keys").alias("key"), "id", "sketch", *more).repartition(partitions(spark), "key").sortWithinPartitions("key", "sketch", "id")
-
-    cluster = components(nodes(one).mapInArrow(_inner(inner, outer), "a long, b long"))
-    placed = one.join(cluster, "id", "left").select("id", "keys", "sketch", F.coalesce("root", "id").alias("cluster"))
-    guests = nodes(placed, "cluster").mapInArrow(_guests(inner, outer), "cluster long, id long").distinct().checkpoint()
-    alone = guests.select("cluster", F.col("cluster").alias("id"), F.lit(1).alias("home"))  # a cluster of one, if it has guests
-    members = cluster.select(F.col("root").alias("cluster"), "id", F.lit(1).alias("home")).unionByName(alone).unionByName(guests.select("cluster", "id", F.lit(0).alias("home")))
-    members = members.groupBy("cluster", "id").agg(F.max("home").alias("home")).join(one.select("id", "d1", "d2", "copies", "size"), "id").checkpoint()
+    nodes = one.select(F.explode("keys").alias("key"), "id", "sketch").repartition(partitions(spark), "key").sortWithinPartitions("key", "sketch", "id")
+    cluster = components(nodes.mapInArrow(_nodes(near), "a long, b long"))
+    members = cluster.select(F.col("root").alias("cluster"), "id").join(one.select("id", "d1", "d2", "copies", "size"), "id").checkpoint()
     wanted = members.select("id", "d1", "d2").distinct()
     sets = texts.join(wanted, "id").mapInArrow(_sets(k), "id long, shingles binary")
-    met = block_pairs(members.select("cluster", "id", "home", "copies", "size"), ["cluster"], "id", per_block, "size", block_shingles).drop("size").join(sets, "id")
+    met = block_pairs(members.select("cluster", "id", "copies", "size"), ["cluster"], "id", per_block, "size", block_shingles).drop("size").join(sets, "id")
     keys = ["cluster", "bi", "bj"]
     met = met.repartition(partitions(spark), *keys).sortWithinPartitions(*keys)
-    found = met.mapInArrow(_within(num, den), "a long, b long, added long, copies_a long, copies_b long").checkpoint()
-    inside = found.where("added > 0").select("a", "added")
-    across = found.where("added = 0").select("a", "b", "copies_a", "copies_b").distinct()
-    across = across.select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("copies_b").alias("added")), F.struct(F.col("b").alias("a"), F.col("copies_a").alias("added")))).alias("x")).select("x.*")
-    links = inside.unionByName(across).groupBy(F.col("a").alias("id")).agg(F.sum("added").alias("added"))
-    classes = components(found.select("a", "b"))
+    found = met.mapInArrow(_within(num, den), "id long, added long, root long").checkpoint()
+    links = found.groupBy("id").agg(F.sum("added").alias("added"))
+    classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     known = one.select("d1", "d2", "id", "copies").join(links, "id", "left").join(classes, "id", "left")
     known = known.select("d1", "d2", F.coalesce("root", "id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("added", F.lit(0))).alias("n_links"))
     full = rows.select("id", "d1", "d2").join(known, ["d1", "d2"]).select("id", "class_id", "n_links")

@@ -101,3 +101,17 @@ r AS (SELECT doc_id AS id, doc_id AS root FROM d UNION SELECT l.b, r.root FROM r
 c AS (SELECT id, min(root) root FROM r GROUP BY 1), n AS (SELECT a, count(*) n FROM l GROUP BY 1)
 SELECT doc_id, root class_id, CAST(coalesce(n, 0) AS BIGINT) n_links, doc_id = root kept FROM d JOIN c ON c.id = doc_id LEFT JOIN n ON n.a = doc_id
 """
+SQL["op7_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) h FROM documents),
+i AS (SELECT doc_id, h, unnest(range(0, CAST(length(h) / 2 AS BIGINT) - 49)) p FROM d WHERE length(h) >= 100),
+w AS (SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 100)) k FROM i),
+m AS (SELECT k, min(doc_id) first FROM w GROUP BY k HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT doc_id, p FROM w JOIN m USING (k) WHERE first < doc_id),
+g AS (SELECT doc_id, p, sum(CASE WHEN p - q <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) r FROM (SELECT doc_id, p, coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -100) q FROM c)),
+s AS (SELECT doc_id, min(p) a, max(p) + 50 b FROM g GROUP BY doc_id, r),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) f FROM s),
+t AS (SELECT doc_id, CAST(sum(b - a) AS BIGINT) n, count(*) c, max(b) e, list((f, a) ORDER BY a) x FROM k GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) / 2 AS BIGINT) n_bytes, coalesce(n, 0) n_removed, coalesce(c, 0) n_spans,
+ sha256(unhex(CASE WHEN n IS NULL THEN h ELSE array_to_string(list_transform(x, lambda y: substr(h, 2 * y[1] + 1, 2 * (y[2] - y[1]))), '') || substr(h, 2 * e + 1) END)) kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""

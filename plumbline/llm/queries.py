@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, embedding_dedup, mixing, ngram_join, quality, secret_scan, token_counts, toxicity
+from . import chat_format, decontaminate, embedding_dedup, mixing, ngram_join, quality, secret_scan, suffix_dedup, token_counts, toxicity
 from .common import table
 
 
@@ -37,6 +37,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "kept")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return df.select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.rotate(table(spark, sf_dir, "conversations"))
 
@@ -50,7 +55,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_ngram_join, op4_toxicity, op5_embedding_dedup, op6_mixing, op8_chat_format, op9_quality, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_token_counts, op2_decontamination, op3_ngram_join, op4_toxicity, op5_embedding_dedup, op6_mixing, op7_suffix_dedup, op8_chat_format, op9_quality, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -27,23 +27,26 @@ class Shards:
         string = np.repeat(np.arange(len(size)), n_of)
         offset = np.arange(total) - base[string]
         left = size[string] - offset
-        padded = np.concatenate([data, np.zeros(int(size.max()) + 8, np.uint8)])
-        place = first[string] + offset
+        # each string with eight zeros after it, so that a word read past its end has zeros there
+        apart = first + 8 * np.arange(len(size))
+        flat = np.zeros(len(data) + 8 * len(size) + 8, np.uint8)
+        flat[np.arange(len(data)) + np.repeat(apart - first, size)] = data
+        eight = np.ascontiguousarray(np.lib.stride_tricks.as_strided(flat, (len(flat) - 7, 8), (1, 1))).view(">u8").ravel()
+        place = apart[string] + offset
 
         def word(rows: np.ndarray, k: int) -> np.ndarray:
             """Eight bytes of each suffix from its byte k on, zeros after its end."""
-            p = place[rows][:, None] + np.arange(k, k + 8)
-            bytes_ = padded[np.minimum(p, len(padded) - 1)]
-            bytes_[np.arange(k, k + 8)[None, :] >= left[rows][:, None]] = 0
-            return np.ascontiguousarray(bytes_[:, ::-1]).view(np.uint64).ravel()
+            more = left[rows] > k
+            return np.where(more, eight[place[rows] + np.where(more, k, 0)], 0).astype(np.uint64)
 
-        every = np.arange(total)
-        head = word(every, 0)
-        owner = shard[string].astype(np.int64)
-        order = np.argsort(head, kind="stable")
+        head = eight[place].astype(np.uint64)
+        head[left == 0] = 0
+        owner = shard[string]
+        order = np.argsort(head)
         order = order[np.argsort(owner[order], kind="stable")]
+        h, o = head[order], owner[order]
         same = np.zeros(total, bool)
-        same[1:] = (head[order][1:] == head[order][:-1]) & (owner[order][1:] == owner[order][:-1])
+        same[1:] = (h[1:] == h[:-1]) & (o[1:] == o[:-1])
         tied = same.copy()
         tied[:-1] |= same[1:]
         rows = order[tied]
@@ -57,7 +60,7 @@ class Shards:
         self.last = self.offset == 0
         before = np.maximum(order - 1, 0)
         self.step = row[before]
-        self.symbol = padded[np.maximum(place[order] - 1, 0)]
+        self.symbol = flat[np.maximum(place[order] - 1, 0)]
 
 
 def merge(shards: Shards, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

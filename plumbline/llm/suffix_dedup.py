@@ -34,7 +34,7 @@ from .common import mix, powers, prepare, slices, utf8
 from .decontaminate import among
 
 CHUNK, HASHES, CONTEXTS = 2 << 20, 32 << 20, 4 << 20  # bytes of text for a chunk, a bucket of hashes, a bucket of contexts
-SHARDS = 8
+SHARD = 256  # strings of a shard, about
 
 
 def _batches(docs: pa.Table):
@@ -182,7 +182,7 @@ def least_ids(family: np.ndarray, low: np.ndarray, size: np.ndarray, data: np.nd
     several = np.flatnonzero(n[at] > 1)  # a context alone in its family shares no string
     if len(several):
         # a family's contexts are dealt over shards, so that strings within a shard differ early
-        shard = (np.arange(len(several)) % SHARDS).astype(np.uint8)
+        shard = (np.arange(len(several)) % min(65_536, -(-len(several) // SHARD))).astype(np.uint16)
         d = distinct[several]
         string, offset, block = merge(Shards(gather(data, first[d], size[d]), size[d], shard), span)
         if len(block):

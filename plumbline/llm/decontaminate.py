@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import Words, grams, prepare, slices, utf8
+from .common import Words, grams, mix, prepare, slices, utf8
 
 
 def least(g: np.ndarray, w: int) -> np.ndarray:
@@ -87,8 +88,6 @@ def found(ws: Words, index: Index) -> Iterator[tuple[int, int, set[str]]]:
             for j in range(1, n):
                 h *= np.uint64(0x9E3779B97F4A7C15)
                 h += ws.hash[at + j]
-            from .common import mix
-
             h = mix(h + np.uint64(n))
         else:
             h = grams(ws.hash, n)
@@ -108,6 +107,52 @@ def item_blocks(items: DataFrame, block_bytes: int) -> list[DataFrame]:
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) for i in range(n)]
 
 
+def mapper(index, carry: bool = False):
+    """Adds n_words, n_hit, hits (places of hit words) and items; with ``carry`` under names that start with _, and the text stays."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offs = utf8(b.column(b.schema.names.index("text")))
+            out = {"n_words": [], "n_hit": [], "hits": [], "items": []}
+            for lo, hi in slices(offs):
+                ws = Words(data, offs[lo : hi + 1])
+                hit = np.zeros(len(ws) + 1, np.int32)
+                by: dict[int, set[str]] = {}
+                doc = ws.doc()
+                for i, n, got in found(ws, index.value):
+                    hit[i] += 1
+                    hit[i + n] -= 1
+                    by.setdefault(int(doc[i]), set()).update(got)
+                on = np.cumsum(hit[:-1]) > 0
+                for d in range(hi - lo):
+                    s, e = ws.first[d], ws.first[d + 1]
+                    out["n_words"].append(int(e - s))
+                    out["n_hit"].append(int(on[s:e].sum()) if d in by else 0)
+                    out["hits"].append(np.flatnonzero(on[s:e]).astype("<i8").tobytes() if d in by else b"")
+                    out["items"].append(sorted(by.get(d, ())))
+            types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string())]
+            cols = [pa.array(v, t) for v, t in zip(out.values(), types, strict=True)]
+            names = [c for c in b.schema.names if carry or c != "text"]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), *cols], [*names, *(f"_{c}" if carry else c for c in out)])
+    return run
+
+
+def _fields(names: list[str]) -> list[T.StructField]:
+    kinds = {"n_words": T.LongType(), "n_hit": T.LongType(), "hits": T.BinaryType(), "items": T.ArrayType(T.StringType())}
+    return [T.StructField(n, kinds[n.lstrip("_")]) for n in names]
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5, block_bytes: int = 32 << 20) -> DataFrame:
+    """The rows of ``docs`` in which no item window occurs."""
+    spark = prepare(docs.sparkSession)
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null")
+    out = docs
+    for part in item_blocks(items, block_bytes):
+        index = spark.sparkContext.broadcast(Index([tuple(r) for r in part.collect()], window, k))
+        fields = _fields(["_n_words", "_n_hit", "_hits", "_items"])
+        out = out.mapInArrow(mapper(index, True), T.StructType([*docs.schema.fields, *fields])).where("_n_hit = 0").select(*docs.columns)
+    return out
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5, block_bytes: int = 32 << 20) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated: one row for each input row.
 
@@ -117,33 +162,6 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, k: int =
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null")
     blocks = item_blocks(items, block_bytes)
 
-    def mapper(index):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                data, offs = utf8(b.column("text"))
-                out = {"n_words": [], "n_hit": [], "hits": [], "items": []}
-                for lo, hi in slices(offs):
-                    ws = Words(data, offs[lo : hi + 1])
-                    hit = np.zeros(len(ws) + 1, np.int32)
-                    by: dict[int, set[str]] = {}
-                    doc = ws.doc()
-                    for i, n, got in found(ws, index.value):
-                        hit[i] += 1
-                        hit[i + n] -= 1
-                        by.setdefault(int(doc[i]), set()).update(got)
-                    on = np.cumsum(hit[:-1]) > 0
-                    for d in range(hi - lo):
-                        s, e = ws.first[d], ws.first[d + 1]
-                        out["n_words"].append(int(e - s))
-                        out["n_hit"].append(int(on[s:e].sum()) if d in by else 0)
-                        out["hits"].append(np.flatnonzero(on[s:e]).astype("<i8").tobytes() if d in by else b"")
-                        out["items"].append(sorted(by.get(d, ())))
-                types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string())]
-                cols = [pa.array(v, t) for v, t in zip(out.values(), types, strict=True)]
-                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in b.schema.names if c != "text"), *cols], [*(c for c in b.schema.names if c != "text"), *out])
-
-        return run
-
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "n_words long, n_hit long, hits binary, items array<string>"
     index = lambda part: spark.sparkContext.broadcast(Index([tuple(r) for r in part.collect()], window, k))

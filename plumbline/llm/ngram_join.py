@@ -243,3 +243,10 @@ def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5),
     full = rows.select("id", "d1", "d2").join(known, ["d1", "d2"]).select("id", "class_id", "n_links")
     bare = texts.where(~F.coalesce("text", F.lit("")).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return full.unionByName(bare).select(F.col("id").alias("doc_id"), "class_id", "n_links", (F.col("id") == F.col("class_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """One row of ``docs`` for each class: that of the least doc_id (any one of rows that share it)."""
+    kept = ngram_join(docs, **options).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    own = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).join(kept, "_id", "left_semi")
+    return own.dropDuplicates(["_id"]).select(*docs.columns)

@@ -19,6 +19,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import fold, labelled_sample, prepare, utf8
 from .logistic import Logistic
@@ -71,23 +72,31 @@ def learn(docs: DataFrame, labels: DataFrame, keep, per_class: int, size: int, p
     return sizes, Logistic(np.array([sizes(t) for t, _ in rest]).reshape(-1, FEATURES), np.array([y for _, y in rest], float), prior)
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 5, held: int = 0, per_class: int = 1500, size: int = 112 << 10, piece: int = 2048, level: int = 3) -> DataFrame:
-    """doc_id, held_out, score, predicted: one row for each input row."""
+def score_rows(docs: DataFrame, labels: DataFrame, name: str = "score", folds: int = 5, held: int = 0, per_class: int = 1500, size: int = 112 << 10, piece: int = 2048, level: int = 3) -> DataFrame:
+    """``docs`` with a column ``name``, the score of each row's text."""
     spark = prepare(docs.sparkSession)
-    keep = fold("doc_id", folds) != held
-    sizes, model = learn(docs, labels, keep, per_class, size, piece, level)
+    sizes, model = learn(docs, labels, fold("doc_id", folds) != held, per_class, size, piece, level)
     given = spark.sparkContext.broadcast((sizes and sizes.raw, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dicts, fitted = given.value
         sized = Sizes(*dicts, piece, level) if dicts else None
         for b in batches:
-            data, offs = utf8(b.column("text"))
+            data, offs = utf8(b.column(b.schema.names.index("text")))
             view = memoryview(data)
             x = np.array([sized(bytes(view[s:e])) if sized else np.zeros(FEATURES) for s, e in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)]).reshape(-1, FEATURES)
-            names = [n for n in b.schema.names if n != "text"]
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(fitted(x), pa.float64())], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fitted(x), pa.float64())], [*b.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 5, held: int = 0, **learning) -> DataFrame:
+    """doc_id, held_out, score, predicted: one row for each input row."""
+    scored = score_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, "score", folds, held, **learning)
+    held_out = F.coalesce(fold("doc_id", folds) == held, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(fold("doc_id", folds) == held, F.lit(False)).alias("held_out"), "text")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **learning) -> DataFrame:
+    """The rows of ``docs`` that the classifier accepts."""
+    return score_rows(docs, labels, "_quality_score", **learning).where(F.col("_quality_score") >= threshold).select(*docs.columns)

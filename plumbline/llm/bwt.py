@@ -24,9 +24,9 @@ class Shards:
         first = np.cumsum(size) - size  # of each string in data
         base = np.cumsum(n_of) - n_of  # of each string's suffixes
         total = int(n_of.sum())
-        string = np.repeat(np.arange(len(size)), n_of)
-        offset = np.arange(total) - base[string]
-        left = size[string] - offset
+        string = np.repeat(np.arange(len(size), dtype=np.int32), n_of)
+        offset = (np.arange(total) - base[string]).astype(np.int32)
+        left = size.astype(np.int32)[string] - offset
         # each string with eight zeros after it, so that a word read past its end has zeros there
         apart = first + 8 * np.arange(len(size))
         flat = np.zeros(len(data) + 8 * len(size) + 8, np.uint8)
@@ -56,7 +56,8 @@ class Shards:
             order[tied] = rows[np.lexsort(keys)]
         row = np.empty(total, np.int32)
         row[order] = np.arange(total, dtype=np.int32)
-        self.string, self.offset = string[order].astype(np.int32), offset[order].astype(np.int32)
+        del head, owner, h, o, same, tied
+        self.string, self.offset = string[order], offset[order]
         self.last = self.offset == 0
         before = np.maximum(order - 1, 0)
         self.step = row[before]

@@ -18,6 +18,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Large arrays are mapped and freed one by one, not kept in a worker's heap.
+WORKER_MEMORY = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
 SLICE_BYTES = 1 << 21  # of text that a kernel holds at once; one longer text is held alone
 
 
@@ -27,8 +30,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Python workers find this package; checkpoints have a folder (the cluster's if it names one)."""
+    """Python workers find this package and give memory back; checkpoints have a folder (the cluster's if it names one).
+
+    Arrow batches of 10,000 rows, Spark's default, would hold 10,000 whole texts at once, on both
+    sides of the pipe; unless the session sets another number, 1000 rows are sent at a time.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
+    for name, value in WORKER_MEMORY.items():
+        sc.environment.setdefault(name, value)
     paths = sc.environment.get("PYTHONPATH", "")
     if ROOT not in paths.split(os.pathsep):
         sc.environment["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, paths) if p)

@@ -163,7 +163,7 @@ def _sets(k: int):
     return run
 
 
-def overlap(sets: list[np.ndarray], budget: int = 8 << 20) -> np.ndarray:
+def overlap(sets: list[np.ndarray], budget: int = 2 << 20) -> np.ndarray:
     """Sizes of all intersections: a product of 0/1 matrices over the shared shingles."""
     n = len(sets)
     owner = np.repeat(np.arange(n), [len(s) for s in sets])
@@ -215,7 +215,7 @@ def _within(num: int, den: int):
     return run
 
 
-def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, near: float = 0.58, per_block: int = 1024, block_shingles: int = 250_000) -> DataFrame:
+def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, near: float = 0.58, per_block: int = 512, block_shingles: int = 150_000) -> DataFrame:
     """doc_id, class_id, n_links, kept: one row for each input row.
 
     ``threshold`` is a fraction; ``class_id`` is the least doc_id reachable by links, itself included;

@@ -33,7 +33,7 @@ from .bwt import Shards, gather, merge
 from .common import mix, powers, prepare, slices, utf8
 from .decontaminate import among
 
-CHUNK, HASHES, CONTEXTS = 2 << 20, 32 << 20, 4 << 20  # bytes of text for a chunk, a bucket of hashes, a bucket of contexts
+CHUNK, HASHES, CONTEXTS = 2 << 20, 24 << 20, 2 << 20  # bytes of text for a chunk, a bucket of hashes, a bucket of contexts
 SHARD = 256  # strings of a shard, about
 
 

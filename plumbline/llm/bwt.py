@@ -14,8 +14,7 @@ def gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
 class Shards:
     """BWTs of shards of strings, one after another.
 
-    ``symbol`` is the byte before each row's suffix, ``last`` marks rows that are whole strings (the
-    terminator stands before them) and ``step`` is the row of the suffix one byte longer, as LF
+    ``symbol`` is the byte before each row's suffix and ``step`` is the row of the suffix one byte longer, as LF
     gives it within a shard.  The shortest suffix of a string is its terminator alone.
     """
 
@@ -58,7 +57,6 @@ class Shards:
         row[order] = np.arange(total, dtype=np.int32)
         del head, owner, h, o, same, tied
         self.string, self.offset = string[order], offset[order]
-        self.last = self.offset == 0
         before = np.maximum(order - 1, 0)
         self.step = row[before]
         self.symbol = flat[np.maximum(place[order] - 1, 0)]
@@ -73,11 +71,9 @@ def merge(shards: Shards, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     common prefix is the round's number.  A suffix alone in its interval stays alone, and is left out
     from then on.
     """
-    rows = np.arange(len(shards.step), dtype=np.int32)
+    rows = np.flatnonzero(shards.offset >= depth).astype(np.int32)  # each repeated string ends before one of these
     block = np.zeros(len(rows), np.int32)
     for _ in range(depth):
-        longer = ~shards.last[rows]
-        rows, block = rows[longer], block[longer]
         if not len(rows):
             break
         symbol = shards.symbol[rows]

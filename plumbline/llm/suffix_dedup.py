@@ -21,8 +21,6 @@ do not remove each other's strings; repeated rows give repeated rows; extra colu
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,6 +44,17 @@ def _batches(docs: pa.Table):
         yield np.ascontiguousarray(data[offs[lo] : offs[hi]]), offs[lo : hi + 1] - offs[lo], ids[lo:hi], (lo, hi)
 
 
+def six_bytes(u: np.ndarray) -> bytes:
+    """The high 48 bits of each hash: enough to screen by, as a chance match only adds a candidate."""
+    return (u >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def from_six(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def _hash_lists(span: int, buckets: int):
     def run(docs: pa.Table) -> pa.Table:
         chunk = docs["chunk"][0].as_py()
@@ -61,7 +70,7 @@ def _hash_lists(span: int, buckets: int):
         cuts = np.split(order, first[1:]) if len(names) else []
         return pa.table({
             "bucket": pa.array(names, pa.int64()), "chunk": pa.array([chunk] * len(names), pa.int64()),
-            "hashes": pa.array([u[c].tobytes() for c in cuts], pa.binary()), "several": pa.array([np.packbits(low[c] < high[c]).tobytes() for c in cuts], pa.binary()),
+            "hashes": pa.array([six_bytes(u[c]) for c in cuts], pa.binary()), "several": pa.array([np.packbits(low[c] < high[c]).tobytes() for c in cuts], pa.binary()),
         })
 
     return run
@@ -71,7 +80,7 @@ def _answers(hot_chunks: int):
     """For each list, a bit for each hash that another document has, and one for each hot hash."""
 
     def run(lists: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(x, np.uint64) for x in lists["hashes"].to_pylist()]
+        hashes = [from_six(x) for x in lists["hashes"].to_pylist()]
         several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8))[: len(h)] for x, h in zip(lists["several"].to_pylist(), hashes, strict=True)])
         every = np.concatenate(hashes)
         u, at, n = np.unique(every, return_inverse=True, return_counts=True)
@@ -294,6 +303,3 @@ def remove_repeats(docs: DataFrame, span: int = 50, hot_chunks: int = 4096, chun
     schema = "doc_id long, n_bytes long, n_removed long, starts array<long>, ends array<long>, kept binary"
     return by(rows, "chunk").cogroup(by(told, "chunk")).applyInArrow(_results(span, hash_buckets, buckets), schema)
 
-
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

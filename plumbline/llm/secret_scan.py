@@ -23,7 +23,8 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{16,}"
 IDENT = r"""((?i:client|access_key|app|user)_?(?i:id))["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.-]+)"""
-ENDPOINT = r"""[a-z][a-z0-9+.-]*://[^\x00-\x20"'<>]+"""
+#: Named schemes, as an open run of letters before "://" is searched in quadratic time in a very long word.
+ENDPOINT = r"""(?:https?|wss?|s?ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqps?|jdbc:[a-z]{1,20})://[^\x00-\x20"'<>]+"""
 KINDS = ("assign", "access", "hex", "id", "weak", "endpoint")
 SPAN = "array<struct<start:int,rank:int,end:int>>"
 

@@ -77,11 +77,18 @@ def bias(settings: Settings) -> Column:
     return F.when(mentioned, F.array_distinct(F.flatten(F.transform(places, at)))).otherwise(F.array().cast(SIGNALS)).cast(SIGNALS)
 
 
+def hedge_count() -> Column:
+    """Counted only where some hedge occurs; a column of its own, so that it is counted once."""
+    j = F.col("_joined")
+    every = sum((times(j, h) for h in L.HEDGES[1:]), times(j, L.HEDGES[0]))
+    return F.when(j.rlike(" (?:" + "|".join(re.escape(h) for h in L.HEDGES) + ") "), every).otherwise(0)
+
+
 def hallucination(text: Column, settings: Settings) -> Column:
     j = F.col("_joined")
     low = F.lower(text)
     n = F.size("_words")
-    hedges = sum((times(j, h) for h in L.HEDGES[1:]), times(j, L.HEDGES[0]))
+    hedges = F.col("_hedges")
     doi = F.contains(low, F.lit("doi.org/10.")) | F.contains(low, F.lit("doi:10.")) | F.contains(low, F.lit("doi: 10."))
     more = some([
         (doi, signal("hallucination", 0.20, "unverified_doi")),
@@ -96,6 +103,7 @@ def content_signals(df: DataFrame, settings: Settings, text: str = "text") -> Da
     """Adds ``content``: the signals a judge's verdict replaces."""
     t = F.coalesce(F.col(text), F.lit(""))
     loud = some([(shouting(t), signal("toxicity", L.SHOUTING_WEIGHT, "shouting"))])
+    df = df.withColumn("_hedges", hedge_count())
     return df.withColumn("content", F.concat(phrases("toxicity", settings), loud, bias(settings), hallucination(t, settings)))
 
 

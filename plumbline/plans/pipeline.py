@@ -21,7 +21,7 @@ def score_outputs(outputs: DataFrame, settings: Settings, judged: DataFrame | No
     df = df.withColumn("source", F.lit("heuristic"))
     if key:
         x = F.when(~F.coalesce("truncated", F.lit(False)) & ~blank(F.col("text")), length_metric(F.col("text")))
-        narrow = df.select(id_, key, *order, x.alias("_x")).where("_x is not null")  # only these columns are sorted by key
+        narrow = df.select(*dict.fromkeys([id_, key, *order]), x.alias("_x")).where("_x is not null")  # only these columns are sorted by key
         z = state.baseline_fold(narrow, key, order, "_x", settings.warmup).select(id_, "z")
         weight, reason = state.length_signal(settings.length_z)
         df = df.join(z, id_, "left").withColumn("structural", F.concat("structural", rules.some([(weight.isNotNull(), rules.signal("anomaly", weight, reason))])))

@@ -4,7 +4,7 @@ Transducers read words: *insult* (stems and words with learned weights), *threat
 "hope", then a verb of harm, then or before a target), *target*, *negation* and *reported speech*.
 Composed, they read a clause from left to right and emit its weight: an insult counts more where
 the clause has a target, less after a negation, and less in reported speech.  A text's clause
-weights become a score by logistic regression.
+weights, and the number of its strongest insults, become a score by logistic regression.
 
 Insult stems are learned: words and their prefixes of 3 to 8 bytes whose document frequency differs
 between toxic and other labelled rows.  Learning takes at most ``per_class`` rows of each class,
@@ -114,7 +114,7 @@ class Grammar:
         for s, e in zip(lo.tolist(), hi.tolist(), strict=True):
             total, hits, negated, told = self.clause(kinds[s:e].tolist(), weights[s:e].tolist())
             f = out[doc[s]]
-            f += (total, 0, hits, 0, total > 0, negated, told)
+            f += (total, 0, hits, 0, (weights[s:e] >= 5).sum(), negated, told)
             f[1] = max(f[1], total)
         size = np.maximum(1, np.diff(ws.first))
         out[:, 3] = 100 * out[:, 2] / size
@@ -158,7 +158,7 @@ def learn(docs: DataFrame, labels: DataFrame, keep, per_class: int, most_stems:
     schema = "y int, f array<double>"
     rest = sample.where(half == 1).select("text", F.col("y").cast("int").alias("y")).mapInArrow(_features(docs.sparkSession.sparkContext.broadcast(grammar)), schema).collect()
     rest = sorted((r["y"], r["f"]) for r in rest)
-    return grammar, Logistic(np.array([f for _, f in rest]).reshape(-1, FEATURES), np.array([y for y, _ in rest], float), prior, products=False)
+    return grammar, Logistic(np.array([f for _, f in rest]).reshape(-1, FEATURES), np.array([y for y, _ in rest], float), prior)
 
 
 def _features(grammar, model=None):

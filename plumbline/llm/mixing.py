@@ -10,7 +10,8 @@ A margin's target is a power (its own shares raised to it) or explicit weights b
 without a weight are then not sampled.  A null source, language or topic counts as ''.  Null and
 empty texts have no tokens: they are kept out of the margins and sampled with their cell's
 probability, 0 if the cell has no tokens.  A null doc_id hashes like ''.  Repeated rows share one
-fate.  An empty table gives an empty result.
+fate.  An empty table gives an empty result.  Columns named topic, n_tokens, probability or kept are
+replaced, whatever they held.
 """
 
 from __future__ import annotations
@@ -89,7 +90,7 @@ def unit_hash(doc_id: Column) -> Column:
 def mix_to_targets(docs: DataFrame, keep: float = 0.5, rounds: int = 6, targets: dict | None = None) -> DataFrame:
     """``docs`` with topic, n_tokens, probability and kept: one row for each input row."""
     prepare(docs.sparkSession)
-    df = measured(docs)
+    df = measured(docs.drop("probability"))  # a column of that name would clash in the join
     cells = df.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0")
     cells = probabilities(cells, keep, rounds, {**TARGETS, **(targets or {})}).select(*MARGINS, "probability")
     if cells.count() <= BROADCAST_CELLS:  # a checked size; else Spark chooses, and splits hot cells

@@ -62,7 +62,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
     """At most ``per_class`` learning rows of each label, least hash first: (text, y).
 
     The bound is a parameter and the order is by a hash of doc_id, so the sample is the same at
-    any partitioning.  Labels that are null or disagree for one doc_id are left out.
+    any partitioning.  Labels that are null or disagree for one doc_id are left out.  Repeated rows of
+    one doc_id give one row, the least of their texts, so the bound holds whatever repeats.
     """
     clean = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & keep)
@@ -74,7 +75,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
         part = clean.where(F.col("y") == y).orderBy("o", "doc_id").limit(per_class)
         few = part if few is None else few.unionByName(part)
     # 2 * per_class pairs of numbers: a proven bound, so this side is broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(few.select("doc_id", "y")), "doc_id").select("doc_id", "text", "y")
+    found = docs.select("doc_id", "text").join(F.broadcast(few.select("doc_id", "y")), "doc_id")
+    return found.groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y")
 
 
 # ---------------------------------------------------------------- Arrow helpers

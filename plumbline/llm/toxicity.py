@@ -144,7 +144,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, keep, per_class: int, most_stems: int) -> tuple[Grammar, Logistic]:
-    sample = labelled_sample(docs, labels, "toxic", keep, per_class).where("text is not null").dropDuplicates(["doc_id"])
+    sample = labelled_sample(docs, labels, "toxic", keep, per_class).where("text is not null")
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
     first = sample.where(half == 0)
     sizes = {r["y"]: r["n"] for r in first.groupBy("y").agg(F.count("*").alias("n")).collect()}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import chat_format, decontaminate, embedding_dedup, mixing, ngram_join, quality, secret_scan, suffix_dedup, token_counts, toxicity
 from plumbline.llm.bwt import Shards, merge
-from plumbline.llm.common import components, prepare
+from plumbline.llm.common import components, labelled_sample, prepare
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BASE = "the quick brown fox jumps over a lazy dog while seven more wolves sleep near cold rivers of northern plains and dream about summer fields"
@@ -248,7 +248,7 @@ def test_hostile_tables(spark, nasty, labels):
                 out = f(docs, given).collect()
                 assert len(out) == size and all(0 <= r["score"] <= 1 for r in out)
             assert set(quality.keep_good(docs, given).columns) == set(docs.columns)
-        for out in (token_counts.count_tokens(docs), decontaminate.decontaminate(docs, bench), decontaminate.decontaminate(docs, bench.where("false")), ngram_join.ngram_join(docs), suffix_dedup.remove_repeats(docs), secret_scan.scan(docs), secret_scan.redact(docs), mixing.mix_to_targets(docs.drop("kept"))):
+        for out in (token_counts.count_tokens(docs), decontaminate.decontaminate(docs, bench), decontaminate.decontaminate(docs, bench.where("false")), ngram_join.ngram_join(docs), suffix_dedup.remove_repeats(docs), secret_scan.scan(docs), secret_scan.redact(docs), mixing.mix_to_targets(docs)):
             assert len(out.collect()) == size
         ngram_join.keep_one(docs).collect()
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
@@ -256,6 +256,26 @@ def test_hostile_tables(spark, nasty, labels):
     assert not chat_format.rotate(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect()
 
 
+def test_clashing_names(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name in "probability topic n_tokens tokens weight kept class_id n_links root y held_out predicted n_hit item_id blk bi bj part starts".split():
+        docs = docs.withColumn(name, F.lit("?"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        assert 0 < out.count() <= docs.count(), name
+        assert out.columns == docs.columns or name == corpus_pipeline.STAGES[-1][0], name
+
+
+def test_learning_sample_is_bounded_by_ids(spark, labels):
+    hot = spark.createDataFrame([(1, f"t{i}") for i in range(500)] + [(1, None), (2, None)], "doc_id long, text string")
+    given = labels.where("doc_id in (1, 2) and quality is not null").where("doc_id <> 1 or quality = 1")
+    got = labelled_sample(hot, given, "quality", F.lit(True), 10).collect()
+    assert sorted((r["doc_id"], r["text"], r["y"]) for r in got) == [(1, "t0", 1), (2, None, 0)]
+
+
 @pytest.mark.parametrize("name,label", [("op9_quality", "quality"), ("op4_toxicity", "toxic")])
 def test_held_out_accuracy(spark, name, label):
     from plumbline.llm.queries import queries

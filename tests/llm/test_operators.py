@@ -188,10 +188,23 @@ def test_merged_transforms_find_repeated_intervals():
         assert sorted(map(sorted, found.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
 
 
+def plain_links(t, kinds, reach=200):
+    """All spans of ``t``, by comparing every pair."""
+    base = [(m.start(), n, m.end()) for n, (_, p, ok) in enumerate(kinds) for m in p.finditer(t) if ok(m)]
+    weak = [(m.start(), 4, m.end()) for m in kinds[0][1].finditer(t) if len(m[2]) < 6]
+    weak += [(m.start(), 4, m.end()) for m in re.finditer(secret_scan.HEX, t) if len(m[0]) < 24]
+    weak += [(m.start(), r, m.end()) for r, p in ((3, secret_scan.IDENT), (5, secret_scan.ENDPOINT)) for m in re.finditer(p, t)]
+    weak = [w for w in weak if not any(b[0] < w[2] and w[0] < b[2] for b in base)]
+    parts = base + weak
+    linked = [w for w in weak if any(p[0] < w[2] + reach and w[0] < p[2] + reach and (p[1] in (0, 2, 4)) != (w[1] in (0, 2, 4)) for p in parts)]
+    return ",".join(f"{secret_scan.KINDS[n]}:{s}:{e}" for s, n, e in sorted(base + linked))
+
+
 def test_secrets_against_plain_search(spark):
     texts = [
         None, "", 'password = "abcdef" é secret: tok', "PassWord:abcdef,token=12345 token = 𝒳 api_key='k.-_/+=9'", "AKIA" + "B" * 16 + " AKIA" + "B" * 15, "x" + "0123456789abcdef" * 2 + "g " + "ab" * 8,
         "client_id=ab12 and token=xyz then https://host.example/a?b=1", "token=xyz alone", "password: token: abcdef1", "0a" * 12 + " 0a" * 3, "😀 secret=aaaaaa😀 token='bbbbbb'",
+        "é token=abc x " * 700 + "client_id=ab1 " * 3 + "0a" * 12 + " y" + " token=abcdefg" * 300,
     ]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     kinds = (("assign", re.compile(secret_scan.ASSIGN), lambda m: len(m[2]) >= 6), ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20), ("hex", re.compile(r"[0-9a-f]+"), lambda m: len(m[0]) >= 24))
@@ -203,8 +216,13 @@ def test_secrets_against_plain_search(spark):
         assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(x[1] == n for x in base) for n in range(3)]
         assert set(filter(None, want.split(","))) <= set(r["spans"].split(","))
     spans = {r["doc_id"]: r["spans"] for r in secret_scan.scan(docs).collect()}
+    assert spans[11] == plain_links(texts[11], kinds)
     assert [x.split(":")[0] for x in spans[6].split(",")] == ["id", "weak", "endpoint"] and spans[7] == ""
     red = {r["doc_id"]: r["text"] for r in secret_scan.redact(docs).collect()}
+    cut, at = "", 0
+    for s, e in sorted(tuple(map(int, x.split(":")[1:])) for x in spans[11].split(",")):
+        cut, at = cut + (texts[11][at:s] + "[SECRET]" if s >= at else ""), max(at, e)
+    assert red[11] == cut + texts[11][at:]
     assert red[10] == "😀 [SECRET]😀 [SECRET]'" and red[0] is None and red[7] == texts[7]
 
 

@@ -58,7 +58,9 @@ def _places(text: Column, pattern: str, value_group: int = 0) -> Column:
 
 def _cut(array: Column) -> Column:
     """``array`` in blocks of BLOCK elements, one empty block for no elements."""
-    return F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.size(array), F.lit(1)) - 1) / BLOCK).cast("int")), lambda i: F.slice(array, i * BLOCK + 1, BLOCK))
+    last = lambda x: F.floor((F.greatest(F.size(x), F.lit(1)) - 1) / BLOCK).cast("int")
+    cut = lambda x: F.transform(F.sequence(F.lit(0), last(x)), lambda i: F.slice(x, i * BLOCK + 1, BLOCK))
+    return F.transform(F.array(array), cut)[0]  # the outer lambda names the array, so that it is made once
 
 
 def _blocks(spans: Column) -> Column:

@@ -282,8 +282,12 @@ def block_pairs(members: DataFrame, keys: list[str], id_col: str, per_block: int
     if weight:
         blocks = F.greatest(blocks, F.least(F.sum(weight) / per_weight, F.count("*").cast("double")))
     counts = members.groupBy(*keys).agg(F.ceil(blocks).alias("_nb"))
-    m = members.join(counts, keys)
-    m = m.withColumn("blk", F.pmod(F.xxhash64(id_col, F.lit("block")), F.col("_nb")))
+    return paired(members.join(counts, keys), id_col)
+
+
+def paired(members: DataFrame, id_col: str) -> DataFrame:
+    """Rows once per block pair (bi <= bj) that holds their block ``blk``, of ``_nb`` blocks by a hash of the id."""
+    m = members.withColumn("blk", F.pmod(F.xxhash64(id_col, F.lit("block")), F.col("_nb")))
     m = m.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1)))
     return m.withColumns({"bi": F.least("blk", "_other"), "bj": F.greatest("blk", "_other")}).drop("_nb", "_other")
 

@@ -8,9 +8,10 @@ tree meet.
 
 Texts that meet in a trie node are first linked where their signatures agree by ``near`` or more (0.58
 is over 4 standard deviations of a 64-value signature below a pair at the threshold); the
-components of these links are clusters.  Clusters are split into hash blocks, and each pair of
-blocks is compared exactly as a product of 0/1 matrices; only counts and spanning stars leave a
-task, never all pairs.
+components of these links are clusters.  A node of over ``per_node`` texts is split into hash blocks
+whose pairs are read by different tasks, so no task holds a whole hot node and no pair is lost.
+Clusters are split in the same way, and each pair of their blocks is compared exactly as a product
+of 0/1 matrices; only counts and spanning stars leave a task, never all pairs.
 
 Null and empty texts have no shingles and link with nothing, not even each other.  A null doc_id
 stands for -1.  Repeated rows are texts of their own.  Extra columns are ignored.
@@ -26,7 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, block_pairs, components, grams, mix, partitions, prepare, runs, slices, stars, utf8
+from .common import Words, block_pairs, components, grams, mix, paired, partitions, prepare, runs, slices, stars, utf8
+
+BROADCAST_NODES = 200_000
 
 
 def prefix_depth(trees: int, depth: int, threshold: float, recall: float) -> int:
@@ -131,7 +134,7 @@ def _nodes(least: float):
             out.clear()
             return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in x], ["a", "b"])
 
-        for group in runs(batches, ["key"]):
+        for group in runs(batches, ["key", "bi", "bj"]):
             if group.num_rows < 2:
                 continue
             ids = group["id"].to_numpy()
@@ -147,6 +150,15 @@ def _nodes(least: float):
     return run
 
 
+def node_blocks(nodes: DataFrame, per_node: int) -> DataFrame:
+    """The texts of each trie node, once per block pair; a node of up to ``per_node`` texts is one block."""
+    hot = nodes.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > per_node)
+    hot = hot.select("key", F.ceil(F.col("n") / per_node).alias("_nb")).checkpoint()
+    if hot.count() <= BROADCAST_NODES:  # a checked size; else Spark chooses
+        hot = F.broadcast(hot)
+    return paired(nodes.join(hot, "key", "left").withColumn("_nb", F.coalesce("_nb", F.lit(1).cast("long"))), "id")
+
+
 def _sets(k: int):
     """The shingles of texts whose digest is the one that stands for their class."""
 
@@ -215,7 +227,7 @@ def _within(num: int, den: int):
     return run
 
 
-def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, near: float = 0.58, per_block: int = 512, block_shingles: int = 150_000) -> DataFrame:
+def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, near: float = 0.58, per_block: int = 512, block_shingles: int = 150_000, per_node: int = 8192) -> DataFrame:
     """doc_id, class_id, n_links, kept: one row for each input row.
 
     ``threshold`` is a fraction; ``class_id`` is the least doc_id reachable by links, itself included;
@@ -227,7 +239,9 @@ def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5),
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"), "text")
     rows = texts.mapInArrow(_measure(k, trees, depth, used), "id long, d1 long, d2 long, size long, keys array<long>, sketch binary").checkpoint()
     one = rows.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")).checkpoint()
-    nodes = one.select(F.explode("keys").alias("key"), "id", "sketch").repartition(partitions(spark), "key").sortWithinPartitions("key", "sketch", "id")
+    node = ["key", "bi", "bj"]
+    nodes = node_blocks(one.select(F.explode("keys").alias("key"), "id", "sketch"), per_node)
+    nodes = nodes.repartition(partitions(spark), *node).sortWithinPartitions(*node, "sketch", "id")
     cluster = components(nodes.mapInArrow(_nodes(near), "a long, b long"))
     members = cluster.select(F.col("root").alias("cluster"), "id").join(one.select("id", "d1", "d2", "copies", "size"), "id").checkpoint()
     wanted = members.select("id", "d1", "d2").distinct()

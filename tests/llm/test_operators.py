@@ -81,8 +81,8 @@ def classes(ids, links):
     return root
 
 
-@pytest.mark.parametrize("per_block", [512, 3])
-def test_ngram_join(spark, per_block):
+@pytest.mark.parametrize("per_block,per_node", [(512, 8192), (3, 2)])
+def test_ngram_join(spark, per_block, per_node):
     rng = np.random.default_rng(1)
     vocabulary = [f"w{i}" for i in range(4000)]
     texts = []
@@ -107,7 +107,7 @@ def test_ngram_join(spark, per_block):
         n[a] += 1
         n[b] += 1
     root = classes(range(len(texts)), links)
-    got = {r["doc_id"]: (r["class_id"], r["n_links"], r["kept"]) for r in ngram_join.ngram_join(docs, per_block=per_block).collect()}
+    got = {r["doc_id"]: (r["class_id"], r["n_links"], r["kept"]) for r in ngram_join.ngram_join(docs, per_block=per_block, per_node=per_node).collect()}
     assert got == {i: (root[i], n[i], root[i] == i) for i in range(len(texts))}
     assert {r["doc_id"] for r in ngram_join.keep_one(docs).collect()} == {i for i in range(len(texts)) if root[i] == i}
 

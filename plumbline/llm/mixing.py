@@ -4,7 +4,8 @@ Documents are counted into cells (source, language, topic) of word tokens.  The
 raked in turn to each margin's targets for ``rounds`` rounds; then cell probabilities are scaled, with
 cells that would need more than they have held at 1, so that the expected tokens are ``keep`` of
 all.  A document is sampled if a hash of its doc_id, as a number below 1, is under its cell's
-probability, so the choice does not depend on partitioning.
+probability, so the choice does not depend on partitioning.  Up to ``few_cells`` cells are summed in
+windows and broadcast; more are aggregated before each shuffle and joined.
 
 A margin's target is a power (its own shares raised to it) or explicit weights by value; values
 without a weight are then not sampled.  A null source, language or topic counts as ''.  Null and
@@ -23,7 +24,7 @@ from .common import prepare
 
 MARGINS = ("source", "lang", "topic")
 TARGETS: dict[str, float | dict[str, float]] = {"source": 0.5, "lang": 0.7, "topic": 0.9}
-BROADCAST_CELLS = 200_000
+FEW_CELLS = 200_000
 
 
 def tokens(text: Column) -> Column:
@@ -45,40 +46,55 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def _share(margin: str, target: float | dict[str, float]) -> Column:
-    """A margin's target share, on a row for each of its values."""
+    """A margin's target before it is made a share, on a row for each of its values."""
     if isinstance(target, dict):
         pairs = [F.lit(x) for kv in target.items() for x in kv]
-        raw = F.coalesce(F.element_at(F.create_map(*pairs), F.col(margin)).cast("double"), F.lit(0.0))
-    else:
-        raw = F.pow("_own", F.lit(float(target)))
-    return raw
+        return F.coalesce(F.element_at(F.create_map(*pairs), F.col(margin)).cast("double"), F.lit(0.0))
+    return F.pow("_own", F.lit(float(target)))
 
 
-def probabilities(cells: DataFrame, keep: float, rounds: int, targets: dict) -> DataFrame:
+def _with_sum(df: DataFrame, value: Column, name: str, key: str | None, few: bool) -> DataFrame:
+    """``df`` with the sum of ``value`` over the rows that share ``key`` (all rows for None).
+
+    A few rows are summed in a window.  More are aggregated before the shuffle and joined back, so
+    that no task holds all rows of one value; the sum of all rows is one number.
+    """
+    if few:
+        return df.withColumn(name, F.sum(value).over(Window.partitionBy(F.col(key) if key else F.lit(0))))
+    if not key:
+        return df.withColumn(name, F.lit(df.agg(F.sum(value)).first()[0]))
+    return df.join(df.groupBy(key).agg(F.sum(value).alias(name)), key).checkpoint()
+
+
+def probabilities(cells: DataFrame, keep: float, rounds: int, targets: dict, few: bool) -> DataFrame:
     """source, lang, topic, tokens -> the same with weight (a share) and probability."""
-    everything = Window.partitionBy(F.lit(0))
     df = cells.withColumn("w", F.col("tokens").cast("double"))
     for m in MARGINS:
-        by = Window.partitionBy(m)
-        df = df.withColumn("_own", F.sum("tokens").over(by).cast("double"))
-        df = df.withColumn("_raw", _share(m, targets[m])).withColumn("_first", F.row_number().over(by.orderBy(*MARGINS)))
-        total = F.sum(F.when(F.col("_first") == 1, F.col("_raw"))).over(everything)
-        df = df.withColumn(f"t_{m}", F.col("_raw") / total).drop("_own", "_raw", "_first")
+        df = _with_sum(df, F.col("w"), "_own", m, few)
+        if few:
+            df = df.withColumn("_first", F.row_number().over(Window.partitionBy(m).orderBy(*MARGINS)))
+            df = _with_sum(df, F.when(F.col("_first") == 1, _share(m, targets[m])), "_total", None, few).drop("_first")
+        else:
+            values = df.groupBy(m).agg(F.first("_own").alias("_own"))
+            df = df.withColumn("_total", F.lit(values.agg(F.sum(_share(m, targets[m]))).first()[0]))
+        df = df.withColumn(f"t_{m}", _share(m, targets[m]) / F.col("_total")).drop("_own", "_total")
     df = df.checkpoint()
     for r in range(rounds):
         for m in MARGINS:
-            s = F.sum("w").over(Window.partitionBy(m))
-            df = df.withColumn("w", F.when(s > 0, F.col("w") * F.col(f"t_{m}") / s).otherwise(0.0))
+            df = _with_sum(df, F.col("w"), "_sum", m, few)
+            df = df.withColumn("w", F.when(F.col("_sum") > 0, F.col("w") * F.col(f"t_{m}") / F.col("_sum")).otherwise(0.0)).drop("_sum")
         if r % 3 == 2:
             df = df.checkpoint()
-    df = df.withColumn("w", F.col("w") / F.sum("w").over(everything)).checkpoint()
-    budget = F.sum("tokens").over(everything) * F.lit(keep)
-    df = df.withColumn("p", F.lit(0.0)).withColumn("full", F.lit(False)).withColumn("budget", budget)
+    df = _with_sum(df, F.col("w"), "_sum", None, few)
+    df = df.withColumn("w", F.col("w") / F.col("_sum")).drop("_sum").checkpoint()
+    df = _with_sum(df, F.col("tokens"), "_sum", None, few).withColumn("budget", F.col("_sum") * F.lit(keep)).drop("_sum")
+    df = df.withColumn("p", F.lit(0.0)).withColumn("full", F.lit(False))
     for _ in range(6):
-        left = F.col("budget") - F.sum(F.when(F.col("full"), F.col("tokens")).otherwise(0)).over(everything)
-        open_w = F.sum(F.when(F.col("full"), 0.0).otherwise(F.col("w"))).over(everything)
-        p = F.when(F.col("full"), 1.0).otherwise(F.when(open_w > 0, left * F.col("w") / open_w / F.col("tokens")).otherwise(0.0))
-        df = df.withColumn("p", p)
+        df = _with_sum(df, F.when(F.col("full"), F.col("tokens")).otherwise(0), "_held", None, few)
+        df = _with_sum(df, F.when(F.col("full"), 0.0).otherwise(F.col("w")), "_open", None, few)
+        share = (F.col("budget") - F.col("_held")) * F.col("w") / F.col("_open") / F.col("tokens")
+        p = F.when(F.col("full"), 1.0).otherwise(F.when(F.col("_open") > 0, share).otherwise(0.0))
+        df = df.withColumn("p", p).drop("_held", "_open")
         df = df.withColumn("full", F.col("p") >= 1.0).withColumn("p", F.least(F.col("p"), F.lit(1.0)))
     return df.select(*MARGINS, F.col("tokens"), F.round("w", 9).alias("weight"), F.round("p", 9).alias("probability")).checkpoint()
 
@@ -87,13 +103,14 @@ def unit_hash(doc_id: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
-def mix_to_targets(docs: DataFrame, keep: float = 0.5, rounds: int = 6, targets: dict | None = None) -> DataFrame:
+def mix_to_targets(docs: DataFrame, keep: float = 0.5, rounds: int = 6, targets: dict | None = None, few_cells: int = FEW_CELLS) -> DataFrame:
     """``docs`` with topic, n_tokens, probability and kept: one row for each input row."""
     prepare(docs.sparkSession)
     df = measured(docs.drop("probability"))  # a column of that name would clash in the join
-    cells = df.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0")
-    cells = probabilities(cells, keep, rounds, {**TARGETS, **(targets or {})}).select(*MARGINS, "probability")
-    if cells.count() <= BROADCAST_CELLS:  # a checked size; else Spark chooses, and splits hot cells
+    cells = df.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0").checkpoint()
+    few = cells.count() <= few_cells  # a checked size; beyond it sums are joined, and Spark chooses how
+    cells = probabilities(cells, keep, rounds, {**TARGETS, **(targets or {})}, few).select(*MARGINS, "probability")
+    if few:
         cells = F.broadcast(cells)
     df = df.join(cells, list(MARGINS), "left").withColumn("probability", F.coalesce("probability", F.lit(0.0)))
     return df.withColumn("kept", unit_hash(F.col("doc_id")) < F.col("probability"))

@@ -236,6 +236,24 @@ def test_mixing_meets_targets(spark):
     assert abs(out[out.kept].n_tokens.sum() / out.n_tokens.sum() - 0.2) < 0.03
 
 
+def test_mixing_alike_at_any_number_of_cells(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "source", "lang")
+    few, many = (sorted((r["doc_id"], r["probability"], r["kept"]) for r in mixing.mix_to_targets(docs, few_cells=n).collect()) for n in (1000, 0))
+    assert [(i, k) for i, _, k in few] == [(i, k) for i, _, k in many]
+    assert np.allclose([p for _, p, _ in few], [p for _, p, _ in many], atol=1e-8)
+    empty = mixing.mix_to_targets(docs.where("false"), few_cells=-1)
+    assert not empty.collect()
+
+
+def test_index_parts_windows_of_one_hash(spark):
+    index = decontaminate.Index([("x", "one two"), ("y", "three four"), ("z", "one two"), ("w", None)], 10, 5)
+    (h, start, end, first, item) = index.tables[2]
+    assert len(h) == 2 and sorted(sorted(index.names[j] for j in item[s:e]) for s, e in zip(first, first[1:], strict=False)) == [["x", "z"], ["y"]]
+    same = np.zeros(3, np.uint64)
+    h, start, end, first, item = index._table([same, np.array([0, 8, 19]), np.array([7, 18, 26]), np.arange(3)])
+    assert len(h) == 2 and sorted(sorted(item[s:e].tolist()) for s, e in zip(first, first[1:], strict=False)) == [[0, 2], [1]]
+
+
 def test_rotation(spark):
     turns = [(1, 0, "system", "rules"), (1, 1, "ann", "hi <|end|>"), (1, 2, "bob", None), (1, 2, "bob", None), (2, 0, "system", "alone"), (None, None, None, "?")] + [(3, i, "u", "t") for i in range(150)]
     got = chat_format.rotate(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()

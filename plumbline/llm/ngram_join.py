@@ -128,6 +128,7 @@ def _nodes(least: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[np.ndarray] = []
+        held = 0
 
         def flush() -> pa.RecordBatch:
             x = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *out], 1), axis=1)
@@ -143,7 +144,9 @@ def _nodes(least: float):
             moved = np.flatnonzero(star != np.arange(len(ids)))
             if len(moved):
                 out.append(np.stack([ids[moved], ids[star[moved]]]))
-            if len(out) > 20_000:
+                held += len(moved)
+            if len(out) > 20_000 or held > 200_000:  # by groups and by links, so that memory is bounded
+                held = 0
                 yield flush()
         yield flush()
 

@@ -14,7 +14,10 @@ from ..session import ready
 
 
 def baseline(stream: DataFrame, warmup: int) -> DataFrame:
-    """(key, id, ts, x) -> key, id, z: each row against those before it of its key, by ts and id within a trigger."""
+    """(key, id, ts, x) -> key, id, z: each row against those before it of its key, by ts and id within a trigger.
+
+    A null x has no z and leaves the state as it is.
+    """
 
     def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = state.get if state.exists else (0, 0.0, 0.0)
@@ -22,8 +25,10 @@ def baseline(stream: DataFrame, warmup: int) -> DataFrame:
             z = []
             for x in f["x"].tolist():
                 n, mean, variance = held
-                z.append((x - mean) / variance**0.5 if n >= warmup and variance > FLAT else None)
-                held = advance(tuple(held), x)
+                known = x is not None and x == x
+                z.append((x - mean) / variance**0.5 if known and n >= warmup and variance > FLAT else None)
+                if known:
+                    held = advance(tuple(held), x)
             state.update(tuple(held))
             yield pd.DataFrame({"key": key[0], "id": f["id"], "z": pd.Series(z, index=f.index, dtype="float64")})
 

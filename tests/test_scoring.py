@@ -144,3 +144,17 @@ def test_entry_without_optional_parts(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() == 200 and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_stream_baseline_skips_nulls(spark, tmp_path):
+    from plumbline.streaming.stateful import baseline
+
+    rows = [("k", f"{i:02}", 1_000_000 + i, None if i == 4 else float(x)) for i, x in enumerate([2, 4, 4, 4, 0, 4, 5, 5, 7, 9])]
+    df = spark.createDataFrame(rows, "key string, id string, s long, x double").withColumn("ts", F.timestamp_seconds("s")).drop("s")
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    q = baseline(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), 8).writeStream.format("memory").queryName("heights").option("checkpointLocation", str(tmp_path / "cp")).start()
+    q.processAllAvailable()
+    q.stop()
+    z = {r["id"]: r["z"] for r in spark.table("heights").collect()}
+    batch = {r["id"]: r["z"] for r in state.baseline_fold(df, "key", ["ts", "id"], "x", 8).collect()}
+    assert z["04"] is None and batch["04"] is None and z["09"] == pytest.approx(batch["09"])

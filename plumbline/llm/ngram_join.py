@@ -14,7 +14,9 @@ Clusters are split in the same way, and each pair of their blocks is compared ex
 of 0/1 matrices; only counts and spanning stars leave a task, never all pairs.
 
 Null and empty texts have no shingles and link with nothing, not even each other.  A null doc_id
-stands for -1.  Repeated rows are texts of their own.  Extra columns are ignored.
+stands for -1.  Repeated rows are texts of their own.  Each distinct set has a number of its own, by
+which blocks, links and classes are kept; doc_ids may repeat, with any texts, and only name rows and
+classes.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, block_pairs, components, grams, mix, paired, partitions, prepare, runs, slices, stars, utf8
@@ -84,13 +86,13 @@ def _measure(k: int, trees: int, depth: int, used: int):
                 keys = np.zeros((len(full), trees), np.uint64)
                 for j in range(used):
                     keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, j] + np.arange(1, trees + 1, dtype=np.uint64))
-                ids = b.column("id").to_numpy()[lo:hi][full]
+                own = b.slice(lo, hi - lo).take(pa.array(full))
                 d = [digest(sets[i]) for i in full]
                 sketch = (sig.reshape(len(full), -1) >> np.uint32(7)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(ids, pa.int64()), pa.array([x[0] for x in d], pa.int64()), pa.array([x[1] for x in d], pa.int64()), pa.array([len(sets[i]) for i in full], pa.int64()),
+                    own.column("doc"), own.column("t"), pa.array([x[0] for x in d], pa.int64()), pa.array([x[1] for x in d], pa.int64()), pa.array([len(sets[i]) for i in full], pa.int64()),
                     pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64())), pa.array([x.tobytes() for x in sketch], pa.binary()),
-                ], ["id", "d1", "d2", "size", "keys", "sketch"])
+                ], ["doc", "t", "d1", "d2", "size", "keys", "sketch"])
 
     return run
 
@@ -230,40 +232,64 @@ def _within(num: int, den: int):
     return run
 
 
-def ngram_join(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, near: float = 0.58, per_block: int = 512, block_shingles: int = 150_000, per_node: int = 8192) -> DataFrame:
-    """doc_id, class_id, n_links, kept: one row for each input row.
+def _known(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, near: float = 0.58, per_block: int = 512, block_shingles: int = 150_000, per_node: int = 8192) -> tuple[DataFrame, DataFrame]:
+    """Rows with shingles (doc, d1, d2), and each distinct set: d1, d2, n_links of its rows and its class's own row (doc, t).
 
-    ``threshold`` is a fraction; ``class_id`` is the least doc_id reachable by links, itself included;
-    ``n_links`` counts the other rows linked directly; ``kept`` marks the class's own row.
+    ``t`` is of a row's whole text; with ``doc`` it finds one set's rows again.
     """
     spark = prepare(docs.sparkSession)
     num, den = threshold
     used = prefix_depth(trees, depth, num / den, recall)
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("id"), "text")
-    rows = texts.mapInArrow(_measure(k, trees, depth, used), "id long, d1 long, d2 long, size long, keys array<long>, sketch binary").checkpoint()
-    one = rows.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")).checkpoint()
+    texts = docs.select(_doc().alias("doc"), _text_key().alias("t"), "text")
+    rows = texts.mapInArrow(_measure(k, trees, depth, used), "doc long, t binary, d1 long, d2 long, size long, keys array<long>, sketch binary").checkpoint()
+    one = rows.groupBy("d1", "d2").agg(F.min(F.struct("doc", "t")).alias("own"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
+    one = one.withColumn("id", F.monotonically_increasing_id()).checkpoint()  # the checkpoint fixes the numbers
     node = ["key", "bi", "bj"]
     nodes = node_blocks(one.select(F.explode("keys").alias("key"), "id", "sketch"), per_node)
     nodes = nodes.repartition(partitions(spark), *node).sortWithinPartitions(*node, "sketch", "id")
     cluster = components(nodes.mapInArrow(_nodes(near), "a long, b long"))
-    members = cluster.select(F.col("root").alias("cluster"), "id").join(one.select("id", "d1", "d2", "copies", "size"), "id").checkpoint()
-    wanted = members.select("id", "d1", "d2").distinct()
-    sets = texts.join(wanted, "id").mapInArrow(_sets(k), "id long, shingles binary")
+    members = cluster.select(F.col("root").alias("cluster"), "id").join(one.select("id", "own.doc", "own.t", "d1", "d2", "copies", "size"), "id").checkpoint()
+    sets = texts.join(members.select("id", "doc", "t", "d1", "d2"), ["doc", "t"]).select("id", "d1", "d2", "text").mapInArrow(_sets(k), "id long, shingles binary")
+    sets = sets.groupBy("id").agg(F.first("shingles").alias("shingles"))  # a row that repeats
     met = block_pairs(members.select("cluster", "id", "copies", "size"), ["cluster"], "id", per_block, "size", block_shingles).drop("size").join(sets, "id")
     keys = ["cluster", "bi", "bj"]
     met = met.repartition(partitions(spark), *keys).sortWithinPartitions(*keys)
     found = met.mapInArrow(_within(num, den), "id long, added long, root long").checkpoint()
     links = found.groupBy("id").agg(F.sum("added").alias("added"))
     classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    known = one.select("d1", "d2", "id", "copies").join(links, "id", "left").join(classes, "id", "left")
-    known = known.select("d1", "d2", F.coalesce("root", "id").alias("class_id"), (F.col("copies") - 1 + F.coalesce("added", F.lit(0))).alias("n_links"))
-    full = rows.select("id", "d1", "d2").join(known, ["d1", "d2"]).select("id", "class_id", "n_links")
-    bare = texts.where(~F.coalesce("text", F.lit("")).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    first = classes.join(one.select("id", "own"), "id").groupBy("root").agg(F.min("own").alias("first"))
+    known = one.select("d1", "d2", "id", "own", "copies").join(links, "id", "left").join(classes, "id", "left").join(first, "root", "left")
+    return rows.select("doc", "d1", "d2"), known.select("d1", "d2", (F.col("copies") - 1 + F.coalesce("added", F.lit(0))).alias("n_links"), F.coalesce("first", "own").alias("own"))
+
+
+def _doc() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))
+
+
+def _text_key() -> Column:
+    return F.unhex(F.md5(F.col("text").cast("binary")))
+
+
+def _bare() -> Column:
+    """Whether a text has no words."""
+    return ~F.coalesce("text", F.lit("")).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
+
+
+def ngram_join(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, class_id, n_links, kept: one row for each input row; the options are those of ``_known``.
+
+    ``threshold`` is a fraction; ``class_id`` is the least doc_id reachable by links, itself included;
+    ``n_links`` counts the other rows linked directly; ``kept`` marks the rows of the class that have its
+    class_id as doc_id (one row, unless doc_ids repeat in a class).
+    """
+    rows, known = _known(docs, **options)
+    full = rows.join(known, ["d1", "d2"]).select(F.col("doc").alias("id"), F.col("own.doc").alias("class_id"), "n_links")
+    bare = docs.where(_bare()).select(_doc().alias("id"), _doc().alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return full.unionByName(bare).select(F.col("id").alias("doc_id"), "class_id", "n_links", (F.col("id") == F.col("class_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One row of ``docs`` for each class: that of the least doc_id (any one of rows that share it)."""
-    kept = ngram_join(docs, **options).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    own = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))).join(kept, "_id", "left_semi")
-    return own.dropDuplicates(["_id"]).select(*docs.columns)
+    """One row of ``docs`` for each class, of the least doc_id in it, and every row without words."""
+    kept = _known(docs, **options)[1].select(F.col("own.doc").alias("_doc"), F.col("own.t").alias("_t")).distinct()
+    own = docs.withColumns({"_doc": _doc(), "_t": _text_key()}).join(kept, ["_doc", "_t"], "left_semi").dropDuplicates(["_doc", "_t"])
+    return own.select(*docs.columns).unionByName(docs.where(_bare()))

@@ -112,6 +112,24 @@ def test_ngram_join(spark, per_block, per_node):
     assert {r["doc_id"] for r in ngram_join.keep_one(docs).collect()} == {i for i in range(len(texts)) if root[i] == i}
 
 
+def test_ngram_join_with_repeated_ids(spark):
+    rng = np.random.default_rng(2)
+    words = [[f"w{x}" for x in rng.integers(0, 10**6, 60)] for _ in range(9)]
+    plain = [" ".join(w) for w in words]
+    near = [" ".join([*w[:-1], "other"]) for w in words]
+    rows = [(None, t) for t in plain[:4]] + [(None, near[0]), (None, plain[1]), (7, near[1]), (7, plain[4]), (7, plain[5]), (8, near[4]), (9, near[5]), (9, plain[6]), (9, plain[6]), (3, plain[7]), (None, plain[7]), (5, near[8]), (4, plain[8]), (None, ""), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    group = [plain.index(t) if t in plain else near.index(t) if t in near else -i - 1 for i, (_, t) in enumerate(rows)]
+    least = {g: min(-1 if i is None else i for (i, _), h in zip(rows, group, strict=True) if h == g) for g in group}
+    want = sorted((-1 if i is None else i, least[g], group.count(g) - 1) for (i, _), g in zip(rows, group, strict=True))
+    for options in ({}, {"per_block": 3, "per_node": 2}):
+        assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in ngram_join.ngram_join(docs, **options).collect()) == want
+        kept = [(-1 if r["doc_id"] is None else r["doc_id"], r["text"]) for r in ngram_join.keep_one(docs, **options).collect()]
+        names = sorted((plain.index(t) if t in plain else near.index(t), i) for i, t in kept if t)
+        assert names == sorted((g, i) for g, i in least.items() if g >= 0)
+        assert len([t for _, t in kept if not t]) == 3
+
+
 def test_linked_signatures_hot_node():
     rng = np.random.default_rng(0)
     sketch = np.repeat(rng.integers(0, 255, (1, 64), dtype=np.uint8), 300, 0)

@@ -23,8 +23,10 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{16,}"
 IDENT = r"""((?i:client|access_key|app|user)_?(?i:id))["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.-]+)"""
-#: Named schemes, as an open run of letters before "://" is searched in quadratic time in a very long word.
-ENDPOINT = r"""(?:https?|wss?|s?ftp|ssh|postgres(?:ql)?|mysql|mongodb|redis|amqps?|jdbc:[a-z]{1,20})://[^\x00-\x20"'<>]+"""
+#: What an endpoint is, of any scheme.  Searching for it as it stands is quadratic in a very long word.
+ENDPOINT = r"""[a-z][a-z0-9+.-]*://[^\x00-\x20"'<>]+"""
+#: The same matches as group 1, in linear time: a run is tried from its first character only and not given back.
+FIND_ENDPOINT = r"""(?<![a-z0-9+.-])[0-9+.-]*+([a-z][a-z0-9+.-]*+://[^\x00-\x20"'<>]+)"""
 KINDS = ("assign", "access", "hex", "id", "weak", "endpoint")
 SPAN = "array<struct<start:int,rank:int,end:int>>"
 PLACES = "array<struct<start:int,end:int,size:int>>"
@@ -56,6 +58,11 @@ def _places(text: Column, pattern: str, value_group: int = 0) -> Column:
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(PLACES))
 
 
+def _endpoints(text: Column) -> Column:
+    """The places of ENDPOINT, which ends each match of FIND_ENDPOINT."""
+    return F.transform(_places(text, FIND_ENDPOINT, 1), lambda x: F.struct((x["end"] - x["size"]).alias("start"), x["end"].alias("end"), x["size"].alias("size")))
+
+
 def _cut(array: Column) -> Column:
     """``array`` in blocks of BLOCK elements, one empty block for no elements."""
     last = lambda x: F.floor((F.greatest(F.size(x), F.lit(1)) - 1) / BLOCK).cast("int")
@@ -83,7 +90,7 @@ def _as(places: Column, rank: int, keep=None) -> Column:
 def with_spans(df: DataFrame, reach: int = 200) -> DataFrame:
     """``df`` with arrays ``_base`` and ``_spans`` of (start, rank, end), sorted."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    df = df.withColumns({"_assign": _places(text, ASSIGN, 2), "_access": _places(text, ACCESS), "_hex": _places(text, HEX), "_id": _places(text, IDENT, 2), "_endpoint": _places(text, ENDPOINT)})
+    df = df.withColumns({"_assign": _places(text, ASSIGN, 2), "_access": _places(text, ACCESS), "_hex": _places(text, HEX), "_id": _places(text, IDENT, 2), "_endpoint": _endpoints(text)})
     base = F.concat(_as(F.col("_assign"), 0, lambda x: x["size"] >= 6), _as(F.col("_access"), 1), _as(F.col("_hex"), 2, lambda x: x["size"] >= 24))
     weak = F.concat(_as(F.col("_id"), 3), _as(F.col("_assign"), 4, lambda x: x["size"] < 6), _as(F.col("_hex"), 4, lambda x: x["size"] < 24), _as(F.col("_endpoint"), 5))
     df = df.withColumns({"_base": F.array_sort(base), "_weak": F.array_sort(weak)})

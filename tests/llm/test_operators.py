@@ -244,6 +244,20 @@ def test_secrets_against_plain_search(spark):
     assert red[10] == "😀 [SECRET]😀 [SECRET]'" and red[0] is None and red[7] == texts[7]
 
 
+def test_endpoints_of_any_scheme(spark):
+    schemes = "https mongodb+srv rediss s3 ldaps mssql postgresql+psycopg2 kafka ftps x".split()
+    rng = np.random.default_rng(4)
+    texts = [f"token=ab12 {x}://u:p@host/a" for x in schemes] + ["".join(rng.choice(list("ab1+.-:/ X😀\""), 40, p=[0.1, 0.1, 0.06, 0.04, 0.04, 0.04, 0.2, 0.3, 0.04, 0.03, 0.03, 0.02])) for _ in range(600)]
+    texts += ["1https://a", "..+s3://b x-://c ://d a:// e://\x00f", "see ...http://g://h\"i://j", "a" * 300_000, "1" * 300_000 + "a://k", "a.b-" * 100_000 + ":/ m://n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in docs.select("text", secret_scan._endpoints(F.col("text")).alias("found")).collect():
+        old = re.finditer(r"""[a-z][a-z0-9+.-]*://[^\x00-\x20"'<>]+""", r["text"]) if len(r["text"]) < 1000 else re.finditer(r"""(?:(?<=111)a|m)://[kn]""", r["text"])
+        assert [(x["start"], x["end"]) for x in r["found"]] == [m.span() for m in old], r["text"][:100]
+    weak = docs.where(F.col("doc_id") < len(schemes))
+    assert {r["spans"] for r in secret_scan.scan(weak).collect()} == {f"weak:0:10,endpoint:11:{len(t)}" for t in texts[: len(schemes)]}
+    assert {r["text"] for r in secret_scan.redact(weak).collect()} == {"[SECRET] [SECRET]"}
+
+
 def test_mixing_meets_targets(spark):
     rows = [(i, "word " * (5 + i % 7), ("a", "b", "c")[min(2, i % 5)], ("en", "de")[i % 2]) for i in range(4000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")

@@ -226,7 +226,7 @@ SQL["label_agreement"] = f"WITH s AS (SELECT doc_id, text FROM documents), {WORD
 @query
 def length_baseline(spark, table):
     df = table("conversations").where("role = 'assistant'").select(F.lit("all").alias("key"), "conv_id", "turn", T.length_metric(F.col("text")).alias("x"))
-    return state.baseline_window(df, "key", ["conv_id", "turn"], "x", 30).select("conv_id", "turn", "seen", F.round("z", 5).alias("z"))
+    return state.baseline_fold(df, "key", ["conv_id", "turn"], "x", 30).select("conv_id", "turn", "seen", F.round("z", 5).alias("z"))
 
 
 SQL["length_baseline"] = """WITH a AS (SELECT conv_id, turn, ln(1 + length(text)) x FROM conversations WHERE role = 'assistant'),

@@ -1,6 +1,7 @@
 """Golden values of the scoring rules, and equality of batch and stream state."""
 
 import json
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,6 +104,30 @@ def test_baseline_window_equals_fold(spark):
     assert s[1] > 9
 
 
+def test_length_baseline_past_the_horizon(spark):
+    from plumbline.plans import queries
+
+    sf = "/root/testdata/sf0.1"
+    rows = spark.read.parquet(f"{sf}/conversations.parquet").where("role = 'assistant'").select("conv_id", "turn", "text").orderBy("conv_id", "turn").collect()
+    count, mean, variance, want = 0, 0.0, 0.0, {}
+    for r in rows:
+        z = None
+        x = None if r["text"] is None else math.log(1 + len(r["text"]))
+        if x is not None and count >= 30 and variance > 1e-9:
+            z = (x - mean) / math.sqrt(variance)
+        want[r["conv_id"], r["turn"]] = (count, z)
+        if x is not None:
+            count += 1
+            n = min(count, 1000)
+            d = x - mean
+            mean += d / n
+            variance = (1 - 1 / n) * (variance + d * d / n)
+    got = {(r["conv_id"], r["turn"]): (r["seen"], r["z"]) for r in queries.queries()["length_baseline"](spark, sf).collect()}
+    assert len(want) == len(rows) > 1000 and got.keys() == want.keys()
+    for k, (seen, z) in want.items():
+        assert got[k][0] == seen and (got[k][1] is None) == (z is None) and (z is None or abs(got[k][1] - z) < 2e-5), k
+
+
 def test_evaluate_exchanges(spark):
     from plumbline.sources import tables
 

@@ -144,6 +144,11 @@ def item_blocks(items: DataFrame, block_bytes: int) -> list[DataFrame]:
     return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) for i in range(n)]
 
 
+def ordered(names: set[str | None]) -> list[str | None]:
+    """Item ids as sorted strings, null last."""
+    return sorted(names, key=lambda x: (x is None, x or ""))
+
+
 def mapper(index, carry: bool = False):
     """Adds n_words, n_hit, hits (places of hit words) and items; with ``carry`` under names that start with _, and the text stays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +170,7 @@ def mapper(index, carry: bool = False):
                     out["n_words"].append(int(e - s))
                     out["n_hit"].append(int(on[s:e].sum()) if d in by else 0)
                     out["hits"].append(np.flatnonzero(on[s:e]).astype("<i8").tobytes() if d in by else b"")
-                    out["items"].append(sorted({index.value.names[j] for j in by.get(d, ())}))
+                    out["items"].append(ordered({index.value.names[j] for j in by.get(d, ())}))
             types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.string())]
             cols = [pa.array(v, t) for v, t in zip(out.values(), types, strict=True)]
             names = [c for c in b.schema.names if carry or c != "text"]
@@ -181,7 +186,7 @@ def _fields(names: list[str]) -> list[T.StructField]:
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
     """The rows of ``docs`` in which no item window occurs."""
     spark = prepare(docs.sparkSession)
-    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null")
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
     out = docs
     for part in item_blocks(items, block_bytes):
         index = spark.sparkContext.broadcast(Index([tuple(r) for r in part.collect()], window, k))
@@ -193,10 +198,11 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, k: in
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated: one row for each input row.
 
-    ``items_sha256`` is of the item_ids that occur, sorted as strings and joined by commas.
+    ``items_sha256`` is of the item_ids that occur, sorted as strings and joined by commas.  Items with a
+    null item_id are searched like any other; together they add 1 to ``n_items`` and nothing to the hashed ids.
     """
     spark = prepare(docs.sparkSession)
-    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null")
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
     blocks = item_blocks(items, block_bytes)
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -216,7 +222,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, k: int =
             import pandas as pd
 
             hits = np.unique(np.concatenate([np.frombuffer(x, "<i8") for x in pdf["hits"]]))
-            got = sorted({i for x in pdf["items"] for i in x})
+            got = ordered({i for x in pdf["items"] for i in x})
             r = pdf.iloc[0]
             one = {"doc_id": r["doc_id"], "n_words": r["n_words"], "n_hit": len(hits), "items": got}
             return pd.DataFrame([one] * int(r["copies"]))

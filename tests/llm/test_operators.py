@@ -73,6 +73,17 @@ def test_decontamination(spark, block_bytes):
     assert kept == {g[0] for g in got if not g[2]}
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 80])
+def test_decontamination_by_items_without_id(spark, block_bytes):
+    bench = spark.createDataFrame([(None, BASE), (None, "unseen words"), (5, "lazy dog"), (None, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, BASE), (2, "unseen words"), (3, "a lazy dog"), (4, "clean"), (4, "clean"), (6, "unseen words " + BASE)], "doc_id long, text string")
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    got = sorted((r["doc_id"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in decontaminate.decontaminate(docs, bench, block_bytes=block_bytes).collect())
+    n = len(BASE.split())
+    assert got == [(1, n, 2, sha(b"5"), True), (2, 2, 1, sha(b""), True), (3, 2, 1, sha(b"5"), True), (4, 0, 0, sha(b""), False), (4, 0, 0, sha(b""), False), (6, n + 2, 2, sha(b"5"), True)]
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench, block_bytes=block_bytes).collect()] == [4, 4]
+
+
 def classes(ids, links):
     root = {i: i for i in ids}
     for _ in ids:

@@ -28,7 +28,7 @@ def extract(body: Column, limit: int) -> Column:
 
 
 def budgeted(chunks: DataFrame, limit: int) -> DataFrame:
-    """exchange_id, stream, capped: chunks in order, each taken if the bytes before it are under the limit."""
+    """exchange_id, stream (an array of chunks in order), capped: a chunk is taken if the bytes before it are under the limit."""
     from pyspark.sql import Window
 
     w = Window.partitionBy("exchange_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
@@ -36,14 +36,16 @@ def budgeted(chunks: DataFrame, limit: int) -> DataFrame:
     taken = chunks.withColumn("_in", before < limit)
     part = F.when(F.col("_in"), F.struct("seq", "chunk"))
     return taken.groupBy("exchange_id").agg(F.array_sort(F.collect_list(part)).alias("_parts"), (~F.bool_and("_in")).alias("capped")).select(
-        "exchange_id", F.aggregate("_parts", F.lit(b""), lambda a, p: F.concat(a, p["chunk"])).alias("stream"), "capped"
+        "exchange_id", F.transform("_parts", lambda p: p["chunk"]).alias("stream"), "capped"
     )
 
 
 def extract_stream(stream: Column, capped: Column, limit: int) -> Column:
+    """The output struct of a stream's chunks."""
+
     @F.pandas_udf(OUTPUT)
     def run(b: pd.Series, c: pd.Series) -> pd.DataFrame:
-        return _frame([(*o.row(), True) if (o := wire.extract_stream(bytes(x or b""), limit, bool(k))) else NONE for x, k in zip(b, c, strict=True)], OUTPUT)
+        return _frame([(*o.row(), True) if (o := wire.extract_stream(b"".join(x), limit, bool(k))) else NONE for x, k in zip(b, c, strict=True)], OUTPUT)
 
     return run(stream, capped)
 

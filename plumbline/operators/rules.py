@@ -99,12 +99,18 @@ def hallucination(text: Column, settings: Settings) -> Column:
     return F.concat(phrases("hallucination", settings), more)
 
 
-def content_signals(df: DataFrame, settings: Settings, text: str = "text") -> DataFrame:
-    """Adds ``content``: the signals a judge's verdict replaces."""
+def content_signals(df: DataFrame, settings: Settings, text: str = "text", categories: tuple[str, ...] = L.CATEGORIES) -> DataFrame:
+    """Adds ``content``: the signals a judge's verdict replaces, of the categories asked for."""
     t = F.coalesce(F.col(text), F.lit(""))
-    loud = some([(shouting(t), signal("toxicity", L.SHOUTING_WEIGHT, "shouting"))])
-    df = df.withColumn("_hedges", hedge_count())
-    return df.withColumn("content", F.concat(phrases("toxicity", settings), loud, bias(settings), hallucination(t, settings)))
+    found = []
+    if "toxicity" in categories:
+        found += [phrases("toxicity", settings), some([(shouting(t), signal("toxicity", L.SHOUTING_WEIGHT, "shouting"))])]
+    if "bias" in categories:
+        found.append(bias(settings))
+    if "hallucination" in categories:
+        df = df.withColumn("_hedges", hedge_count())
+        found.append(hallucination(t, settings))
+    return df.withColumn("content", F.concat(*found) if found else F.array().cast(SIGNALS))
 
 
 def repetition(w: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.lexicon import CATEGORIES, NOTICE
 from ..functions.text import round2
-from ..settings import ACTIONS, Settings
+from ..settings import ACTIONS, Rule, Settings
 
 
 def fold(signals: Column, category: str) -> Column:
@@ -32,10 +32,14 @@ def with_scores(df: DataFrame, content: str = "content", structural: str = "stru
     return df.withColumn("reasons", F.concat(reasons(F.col(content)), reasons(F.col(structural))))
 
 
+def reaches(score: Column, rule: Rule) -> Column:
+    return (score > 0) & (score >= rule.threshold)
+
+
 def with_decision(df: DataFrame, settings: Settings) -> DataFrame:
     """Adds flagged (in category order), action (the strictest of those flagged) and blocking."""
     rules = [(c, settings.rule(c)) for c in CATEGORIES]
-    hit = [(c, r, (F.col(c) > 0) & (F.col(c) >= r.threshold)) for c, r in rules]
+    hit = [(c, r, reaches(F.col(c), r)) for c, r in rules]
     rank = F.greatest(*[F.when(h, F.lit(ACTIONS.index(r.action))).otherwise(0) for _, r, h in hit])
     blocking = F.coalesce(*[F.when(h, F.lit(c)) if r.action == "block" else F.lit(None).cast("string") for c, r, h in hit])
     return df.withColumns({

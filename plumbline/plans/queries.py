@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as L
 from ..functions import text as T
 from ..operators import bodies, gates, judge, rules, scores, state
-from ..session import ready
+from ..session import ready, spread
 from ..settings import Feedback, Judge, Rule, Settings
 from .pipeline import score_outputs
 
@@ -31,7 +31,7 @@ SQL: dict[str, str] = {}
 
 def query(f):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return f(ready(spark), lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+        return f(ready(spark), lambda name: spread(spark.read.parquet(f"{sf_dir}/{name}.parquet")))
 
     QUERIES[f.__name__] = run
     return f
@@ -107,8 +107,8 @@ SQL["text_words"] = f"WITH s AS (SELECT doc_id, text FROM documents), {WORDS} SE
 
 @query
 def toxicity_score(spark, table):
-    df = scores.with_decision(scores.with_scores(scored(table)), SETTINGS)
-    return df.select("doc_id", r6(F.col("toxicity")).alias("toxicity"), F.array_contains("flagged", "toxicity").alias("toxic"))
+    df = rules.content_signals(rules.with_words(seeded(table)), SETTINGS, categories=("toxicity",)).withColumn("x", scores.fold(F.col("content"), "toxicity"))
+    return df.select("doc_id", r6(F.col("x")).alias("toxicity"), scores.reaches(F.col("x"), SETTINGS.toxicity).alias("toxic"))
 
 
 SQL["toxicity_score"] = f"WITH {SEEDED}, {WORDS}, t AS (SELECT doc_id, {TOXICITY} x FROM j) SELECT doc_id, round(x, 6) toxicity, x >= 0.5 toxic FROM t"

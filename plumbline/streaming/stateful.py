@@ -67,13 +67,15 @@ def reassemble(stream: DataFrame, limit: int) -> DataFrame:
 
     def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         raw, capped = state.get if state.exists else (b"", False)
-        done = False
+        done, size, pieces = False, len(raw), [bytes(raw)]
         for c, last in pd.concat(list(frames)).sort_values("seq")[["chunk", "last"]].itertuples(index=False):
-            if len(raw) < limit:
-                raw = bytes(raw) + bytes(c)
+            if size < limit:
+                pieces.append(bytes(c))
+                size += len(c)
             else:
                 capped = True
             done |= bool(last)
+        raw = b"".join(pieces)
         if not done:
             state.update((raw, capped))
             return
@@ -81,7 +83,7 @@ def reassemble(stream: DataFrame, limit: int) -> DataFrame:
 
         state.remove()
         out = Output(limit)
-        for e in events(bytes(raw)):
+        for e in events(raw):
             push_event(out, e)
         yield pd.DataFrame([(key[0], out.text, out.finish_reasons, out.truncated or capped)], columns=["exchange_id", "text", "finish_reasons", "truncated"])
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import wire
 from ..functions.lexicon import CATEGORIES
+from ..session import partitions
 
 OUTPUT = "id string, model string, text string, has_tool_calls boolean, finish_reasons array<string>, logprob_sum double, logprob_count long, truncated boolean, ok boolean"
 NONE = (None, None, None, None, None, None, None, None, False)
@@ -33,7 +34,8 @@ def budgeted(chunks: DataFrame, limit: int) -> DataFrame:
 
     w = Window.partitionBy("exchange_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum(F.octet_length("chunk")).over(w), F.lit(0))
-    taken = chunks.withColumn("_in", before < limit)
+    laid = chunks.repartition(partitions(chunks.sparkSession), "exchange_id")  # its one shuffle, not merged into fewer tasks: parsing costs more than moving
+    taken = laid.withColumn("_in", before < limit)
     part = F.when(F.col("_in"), F.struct("seq", "chunk"))
     return taken.groupBy("exchange_id").agg(F.array_sort(F.collect_list(part)).alias("_parts"), (~F.bool_and("_in")).alias("capped")).select(
         "exchange_id", F.transform("_parts", lambda p: p["chunk"]).alias("stream"), "capped"

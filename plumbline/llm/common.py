@@ -7,9 +7,7 @@ texts; a null text counts as empty.
 
 from __future__ import annotations
 
-import os
-import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from ..session import Cut, partitions, ready, shared_folder  # noqa: F401  partitions: for the operators
+
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Large arrays are mapped and freed one by one, not kept in a worker's heap.
 WORKER_MEMORY = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
@@ -30,29 +29,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Python workers find this package and give memory back; checkpoints have a folder (the cluster's if it names one).
+    """Python workers find this package and give memory back; the folder for cut tables is known.
 
     Arrow batches of 10,000 rows, Spark's default, would hold 10,000 whole texts at once, on both
     sides of the pipe; unless the session sets another number, 1000 rows are sent at a time.
     """
-    sc = spark.sparkContext
+    ready(spark)
     if spark.conf.get(BATCH_ROWS) == "10000":
         spark.conf.set(BATCH_ROWS, "1000")
     for name, value in WORKER_MEMORY.items():
-        sc.environment.setdefault(name, value)
-    paths = sc.environment.get("PYTHONPATH", "")
-    if ROOT not in paths.split(os.pathsep):
-        sc.environment["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, paths) if p)
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="plumbline-checkpoint-"))
+        spark.sparkContext.environment.setdefault(name, value)
+    shared_folder(spark)
     return spark
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def fold(key: str, by: int) -> Column:
     """The remainder that splits labelled rows into learning and held-out ones."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % F.lit(by)
@@ -218,8 +208,8 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- components
-def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each task's links reduced to a star per component that it sees."""
+def _forest(batches: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator[pa.RecordBatch]:
+    """Each task's links reduced to a star per component that it sees; after ``most`` ids it starts anew."""
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -239,35 +229,51 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             p, q = find(x), find(y)
             if p != q:
                 parent[max(p, q)] = min(p, q)
-        if len(parent) > 400_000:  # memory stays bounded; joins below do the rest
+        if len(parent) > most:  # memory stays bounded
             yield flush()
     yield flush()
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """(id, root): the smallest id reachable over ``edges`` (a, b), for every id in an edge.
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, root) of all ids in links that one task may hold."""
+    for b in _forest(batches, 1 << 62):
+        a, r = (b.column(i).to_numpy() for i in (0, 1))
+        ids = np.concatenate([a, np.unique(r)])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate([r, np.unique(r)]))], ["id", "root"])
+
+
+def components(edges: DataFrame, few: int = 100_000) -> DataFrame:
+    """(id, root): the smallest id reachable over ``edges`` (a, b), for every id in an edge that is no loop.
+
+    Tasks first shrink what they see to stars.  While more than ``few`` links are left, the graph is
+    contracted: each id takes the name of the least in its neighbourhood by an order drawn anew each
+    round, so the ids fall by a third a round on average whatever their order (a path too), and there
+    is no limit of rounds.  Once at most ``few`` links are left, one task settles them.  The names are
+    then followed back, and each component gets its least id.
 
-    Tasks first shrink what they see to stars.  Then, until nothing changes, each id takes the
-    least root among its neighbours and jumps to its root's root.  Only aggregates and joins:
-    nothing is collected, and each round is cut by a checkpoint that all executors share.
+    Least names are aggregated before their shuffle.  Each join stands between two written tables, so
+    that Spark can split a hot name's partition and estimates sizes from files.
     """
-    e = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInArrow(_forest, "a long, b long").checkpoint()
-    both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    root = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("root")).checkpoint()
-    for _ in range(rounds):
-        near = both.join(root.select(F.col("id").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("m"))
-        step = root.join(near, root["id"] == near["a"]).select("id", F.least("root", "m").alias("root"), F.col("root").alias("was"))
-        up = step.select(F.col("id").alias("root"), F.col("root").alias("up"))
-        new = step.join(up, "root", "left").select("id", F.least("root", "up").alias("root"), "was").checkpoint()
-        moved = new.where("root <> was").limit(1).count()
-        root = new.select("id", "root")
-        if not moved:
-            return root
-    raise RuntimeError("components did not settle")
-
-
-def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
-    return df.mapInArrow(f, schema)
+    cut = Cut(edges.sparkSession)
+    e = cut(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").mapInArrow(_forest, "a long, b long"))
+    names: list[DataFrame] = []
+    while e.count() > few:
+        drawn = lambda c, k=len(names): F.struct(F.xxhash64(c, F.lit(k)).alias("o"), F.col(c).alias("id"))
+        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        name = cut(both.groupBy("a").agg(F.min(drawn("b")).alias("m")).select(F.col("a").alias("id"), F.least(drawn("a"), "m")["id"].alias("name")))
+        names.append(name)
+        for c in ("a", "b"):
+            e = cut(e.join(name.withColumnRenamed("id", c), c).drop(c).withColumnRenamed("name", c))
+        e = cut(e.select("a", "b").where("a <> b").mapInArrow(_forest, "a long, b long").distinct())
+    root = cut(e.coalesce(1).mapInArrow(_settle, "id long, root long"))
+    for name in reversed(names):
+        known = root.select(F.col("id").alias("name"), "root")
+        root = cut(name.join(known, "name", "left").select("id", F.coalesce("root", "name").alias("root")))
+    if names:
+        least = cut(root.groupBy("root").agg(F.min("id").alias("least")))
+        root = cut(root.join(least, "root").select("id", F.col("least").alias("root")))
+    cut.drop(keep=1)
+    return root
 
 
 # ---------------------------------------------------------------- blocks of pairs

@@ -1,14 +1,18 @@
 """Near-duplicate vectors: spherical k-means cells, then blocked cosines within cells.
 
-Equal vectors of one label are first reduced to one with a count.  Centres are fitted to a bounded
-sample (``sample_rows``); they can change speed, never a link: a vector also visits every other cell
-whose border is within half of the widest distance of a linked pair, so each linked pair meets in a
-cell.  Cells are split into hash blocks of ``per_block`` vectors and compared block by block in
-double precision; only counts and a spanning star of what is linked leave a task.
+Equal vectors of one label are first reduced to one, with a count and a number of its own, by which
+blocks, links and components are kept; vec_ids only name rows and components.  Centres are fitted to
+a bounded sample (``sample_rows`` and ``sample_bytes``), in two levels; they can change speed, never a
+link: a vector also visits every other cell whose border is within half of the widest distance of a
+linked pair, so each linked pair meets in a cell.  Cells are split into hash blocks of ``per_block``
+vectors and compared block by block in double precision; only counts and a spanning star of what is
+linked leave a task.
 
 Vectors that are null, empty, zero or hold null or non-finite components, and those with a null
 label, link with nothing.  Vectors of different lengths never link.  Rows that repeat are vectors
-of their own.  Extra columns are ignored; an empty table gives an empty result.
+of their own, and so are rows that share a vec_id.  A null vec_id stays null; a component is named by
+its least vec_id that is not null (null if it has none), and every row that has the component's name
+as vec_id is kept.  Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import block_pairs, components, partitions, prepare, runs, stars
+from .common import Cut, block_pairs, components, partitions, prepare, runs, stars
+
+MOST_CELLS = 16_384
 
 
 def fit_centres(x: np.ndarray, k: int, steps: int = 8) -> np.ndarray:
@@ -36,6 +42,17 @@ def fit_centres(x: np.ndarray, k: int, steps: int = 8) -> np.ndarray:
     return c
 
 
+def two_levels(x: np.ndarray, k: int) -> np.ndarray:
+    """About k centres: some coarse ones, then some within each one's vectors."""
+    coarse = max(1, round(math.sqrt(k)))
+    if coarse < 8:
+        return fit_centres(x, k)
+    first = fit_centres(x, coarse)
+    home = (x @ first.T).argmax(1)
+    own = [x[home == c] for c in range(coarse)]
+    return np.concatenate([fit_centres(v, max(1, round(k * len(v) / len(x)))) for v in own if len(v)])
+
+
 def unit(vectors: pa.Array) -> np.ndarray:
     x = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
     scale = np.abs(x).max(1, keepdims=True)
@@ -81,28 +98,31 @@ def compare(group: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.n
     return ids, added, root
 
 
-def link_vectors(vectors: DataFrame, least: float = 0.98, per_cell: int = 4096, sample_rows: int = 20_000, per_block: int = 1024) -> DataFrame:
+def link_vectors(vectors: DataFrame, least: float = 0.98, per_cell: int = 4096, sample_rows: int = 131_072, sample_bytes: int = 64 << 20, per_block: int = 1024) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row for each input row."""
     spark = prepare(vectors.sparkSession)
+    cut = Cut(spark)
     v = F.col("embedding")
     good = v.isNotNull() & F.col("label").isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf"))) & F.exists(v, lambda e: e != 0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", v.alias("v"), F.coalesce(good, F.lit(False)).alias("good"))
     rows = rows.withColumns({"h1": F.xxhash64("label", "v"), "h2": F.xxhash64("v", F.lit("second"), "label")})
-    one = rows.where("good").groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.first("v").alias("v"))
-    one = one.checkpoint()
-    n = one.count()
-    k = max(1, min(-(-n // per_cell), sample_rows // 8))
-    some = one.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select(F.size("v").alias("d"), "v").collect()
+    one = rows.where("good").groupBy("label", "h1", "h2").agg(F.min("vec_id").alias("own"), F.count("*").alias("copies"), F.first("v").alias("v"))
+    one = cut(one.withColumn("id", F.monotonically_increasing_id()))  # written, so the numbers are fixed
+    seen = one.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
+    k = max(1, min(-(-seen["n"] // per_cell), MOST_CELLS))
+    most = max(1, min(sample_rows, 16 * k, sample_bytes // (8 * (seen["d"] or 1))))
+    some = one.orderBy(F.xxhash64("h1"), "id").limit(most).select("v").toArrow()["v"].combine_chunks()
+    size = some.value_lengths().to_numpy(zero_copy_only=False)
     centres: dict[int, np.ndarray] = {}
-    for d in {r["d"] for r in some}:
-        x = unit(pa.array([r["v"] for r in some if r["d"] == d]))
-        centres[d] = fit_centres(x, max(1, min(k, len(x) // 8 or 1)))
-    shared = spark.sparkContext.broadcast(centres)
+    for d in np.unique(size).tolist():
+        x = unit(some.filter(pa.array(size == d)))
+        centres[d] = two_levels(x, max(1, min(k, len(x) // 8)))
+    shared = spark.sparkContext.broadcast(centres)  # at most MOST_CELLS centres and sample_bytes
     half = math.sqrt(2 - 2 * least) / 2
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = np.array([len(x) for x in b.column("v")])
+            at = b.column("v").value_lengths().to_numpy(zero_copy_only=False)
             cells: list[list[int]] = [[0]] * b.num_rows
             for d in np.unique(at):
                 if d in shared.value:
@@ -124,11 +144,13 @@ def link_vectors(vectors: DataFrame, least: float = 0.98, per_cell: int = 4096,
                 some = np.flatnonzero(added)
                 yield pa.RecordBatch.from_arrays([pa.array(x[some], pa.int64()) for x in (ids, added, root)], ["id", "added", "root"])
 
-    found = met.mapInArrow(within, "id long, added long, root long").checkpoint()
+    found = cut(met.mapInArrow(within, "id long, added long, root long"))
     links = found.groupBy("id").agg(F.sum("added").alias("added"))
     comp = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    known = one.select("label", "h1", "h2", "id", "copies").join(links, "id", "left").join(comp, "id", "left")
-    known = known.select("label", "h1", "h2", (F.col("copies") - 1 + F.coalesce("added", F.lit(0))).alias("n"), F.coalesce("root", "id").alias("root"))
-    out = rows.select("vec_id", "label", "h1", "h2", "good").join(known.withColumn("good", F.lit(True)), ["label", "h1", "h2", "good"], "left")
-    component = F.coalesce("root", "vec_id")
-    return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    names = comp.join(one.select("id", "own"), "id").groupBy("root").agg(F.min("own").alias("name"), F.lit(True).alias("linked"))
+    known = one.select("label", "h1", "h2", "id", "own", "copies").join(links, "id", "left").join(comp, "id", "left").join(names, "root", "left")
+    name = F.when(F.col("linked"), F.col("name")).otherwise(F.col("own"))
+    known = cut(known.select("label", "h1", "h2", (F.col("copies") - 1 + F.coalesce("added", F.lit(0))).alias("n"), name.alias("name"), F.lit(True).alias("good")))
+    out = rows.select("vec_id", "label", "h1", "h2", "good").join(known, ["label", "h1", "h2", "good"], "left")
+    component = F.when(F.col("good"), F.col("name")).otherwise(F.col("vec_id"))
+    return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))

@@ -1,27 +1,35 @@
 """N-gram Jaccard self-join by a MinHash LSH forest, then exact comparison.
 
 Texts are sets of hashed ``k``-word shingles (a text of 1 to k - 1 words is one shingle).  Equal sets
-are first reduced to one with a count.  A forest of ``trees`` prefix tries holds the signatures, each
-tree up to ``depth`` values deep; matched prefixes are shortened from the full depth until a pair at
-the threshold is found with at least the target recall, and texts that share such a prefix in any
-tree meet.
-
-Texts that meet in a trie node are first linked where their signatures agree by ``near`` or more (0.58
+are first reduced to one with a count.  A set's signature has ``depth`` values in each of ``trees``
+prefix tries.  The forest works on the sorted tries:
+
+1. Each tree's labels are sorted over all tasks, so a prefix is a run of neighbours.  The runs' lengths
+   are what it would cost a set to look at its neighbours at each prefix length.
+2. A set starts with its full labels and shortens the prefix of one tree after another, the one that
+   adds the fewest candidates for its gain first, until a pair at the threshold is met in some tree
+   with a chance of the target recall.  A prefix that no other set has is shortened for nothing.
+3. A set asks in the trie nodes that it ended at, and stands in those above, where sets with a shorter
+   prefix ask.  Nodes in which none asks are skipped.
+
+Sets that meet in a trie node are first linked where their signatures agree by ``near`` or more (0.58
 is over 4 standard deviations of a 64-value signature below a pair at the threshold); the
-components of these links are clusters.  A node of over ``per_node`` texts is split into hash blocks
+components of these links are clusters.  A node of over ``per_node`` sets is split into hash blocks
 whose pairs are read by different tasks, so no task holds a whole hot node and no pair is lost.
 Clusters are split in the same way, and each pair of their blocks is compared exactly as a product
 of 0/1 matrices; only counts and spanning stars leave a task, never all pairs.
 
-Null and empty texts have no shingles and link with nothing, not even each other.  A null doc_id
-stands for -1.  Repeated rows are texts of their own.  Each distinct set has a number of its own, by
-which blocks, links and classes are kept; doc_ids may repeat, with any texts, and only name rows and
-classes.  Extra columns are ignored.
+Null and empty texts have no shingles and link with nothing, not even each other.  Repeated rows are
+texts of their own, and so are rows that share a doc_id.  A null doc_id stays null; a class is named
+by its least doc_id that is not null (null if it has none), and doc_ids only name rows and classes:
+each distinct set has a number of its own, by which blocks, links and classes are kept.  Extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +37,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, block_pairs, components, grams, mix, paired, partitions, prepare, runs, slices, stars, utf8
+from .common import Cut, Words, block_pairs, components, grams, mix, paired, partitions, prepare, runs, slices, stars, utf8
 
 BROADCAST_NODES = 200_000
+ROW = ["nul", "doc", "t"]  # what names a row: no doc_id, doc_id (0 if null), digest of its text
 
 
 def prefix_depth(trees: int, depth: int, threshold: float, recall: float) -> int:
-    """The longest prefix at which some tree matches a pair at the threshold often enough."""
+    """The longest prefix at which, used in every tree, a pair at the threshold meets often enough: no set needs a shorter one."""
     while depth > 1 and 1 - (1 - threshold**depth) ** trees < recall:
         depth -= 1
     return depth
@@ -73,7 +82,9 @@ def signatures(sets: list[np.ndarray], n: int) -> np.ndarray:
     return out
 
 
-def _measure(k: int, trees: int, depth: int, used: int):
+def _measure(k: int, trees: int, depth: int):
+    """Of each text with words: digest and size of its set, and its signature, tree by tree, most significant byte first."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = utf8(b.column("text"))
@@ -82,21 +93,108 @@ def _measure(k: int, trees: int, depth: int, used: int):
                 full = [i for i, s in enumerate(sets) if len(s)]
                 if not full:
                     continue
-                sig = signatures([sets[i] for i in full], trees * depth).reshape(len(full), trees, depth)
-                keys = np.zeros((len(full), trees), np.uint64)
-                for j in range(used):
-                    keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, j] + np.arange(1, trees + 1, dtype=np.uint64))
+                sig = signatures([sets[i] for i in full], trees * depth)
                 own = b.slice(lo, hi - lo).take(pa.array(full))
                 d = [digest(sets[i]) for i in full]
-                sketch = (sig.reshape(len(full), -1) >> np.uint32(7)).astype(np.uint8)
+                sketch = (sig >> np.uint32(7)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([
-                    own.column("doc"), own.column("t"), pa.array([x[0] for x in d], pa.int64()), pa.array([x[1] for x in d], pa.int64()), pa.array([len(sets[i]) for i in full], pa.int64()),
-                    pa.array(keys.view(np.int64).tolist(), pa.list_(pa.int64())), pa.array([x.tobytes() for x in sketch], pa.binary()),
-                ], ["doc", "t", "d1", "d2", "size", "keys", "sketch"])
+                    *(own.column(c) for c in ROW), pa.array([x[0] for x in d], pa.int64()), pa.array([x[1] for x in d], pa.int64()), pa.array([len(sets[i]) for i in full], pa.int64()),
+                    pa.array([x.tobytes() for x in sig.astype(">u4")], pa.binary()), pa.array([x.tobytes() for x in sketch], pa.binary()),
+                ], [*ROW, "d1", "d2", "size", "sig", "sketch"])
+
+    return run
+
+
+# ---------------------------------------------------------------- the forest
+def run_lengths(same: np.ndarray) -> np.ndarray:
+    """For each of the sorted rows, how many stand in its run; ``same`` says whether a row continues the one before."""
+    at = np.cumsum(~same) - 1
+    return np.bincount(at, minlength=1)[at] if len(at) else at
+
+
+def _tries(low: int, depth: int):
+    """Of a task's share of the sorted labels: id, tree and run lengths at each prefix length from ``low`` on, where some other set may have the prefix.
+
+    A run at the share's border may go on in another task, so it counts as one longer.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        t = pa.Table.from_batches(got).combine_chunks()
+        tree, label = t["tree"].to_numpy(), utf8(t["label"])[0].reshape(-1, 4 * depth)
+        n = len(tree)
+        counts = np.empty((n, depth - low + 1), np.int64)
+        for d in range(low, depth + 1):
+            same = np.zeros(n, bool)
+            same[1:] = (tree[1:] == tree[:-1]) & (label[1:, : 4 * d] == label[:-1, : 4 * d]).all(1)
+            counts[:, d - low] = run_lengths(same)
+            border = np.cumsum(~same)
+            counts[(border == 1) | (border == border[-1]), d - low] += 1
+        met = np.flatnonzero(counts[:, 0] > 1)
+        for lo in range(0, len(met), 10_000):
+            m = met[lo : lo + 10_000]
+            yield pa.RecordBatch.from_arrays([t["id"].take(pa.array(m)).combine_chunks(), pa.array(tree[m], pa.int32()), pa.array(counts[m].tolist(), pa.list_(pa.int64()))], ["id", "tree", "counts"])
 
     return run
 
 
+def shorten(counts: np.ndarray, low: int, threshold: float, recall: float) -> np.ndarray:
+    """The prefix length of each set (row) in each tree (column); ``counts`` has the run lengths at low, low + 1, ... (1: no other set).
+
+    The cheapest gain is taken first: candidates added over what the chance of not meeting falls by.
+    """
+    n, trees, levels = counts.shape
+    gain = np.array([-math.log1p(-(threshold**d)) for d in range(low, low + levels)])
+    at = np.full((n, trees), levels - 1)
+    need = -math.log1p(-recall)
+    todo = np.arange(n)
+    while len(todo):
+        here = at[todo]
+        todo = todo[(gain[here].sum(1) < need - 1e-12) & (here > 0).any(1)]
+        here = at[todo]
+        up = np.maximum(here - 1, 0)
+        pick = lambda x, of=counts[todo]: np.take_along_axis(of, x[:, :, None], 2)[:, :, 0]
+        cost = np.where(here > 0, (pick(up) - pick(here)) / np.maximum(gain[up] - gain[here], 1e-12), np.inf)
+        if len(todo):
+            at[todo, cost.argmin(1)] -= 1
+    return at + low
+
+
+def _shortened(trees: int, low: int, depth: int, threshold: float, recall: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = depth - low + 1
+        for b in batches:
+            met = b.column("met")
+            row = np.repeat(np.arange(b.num_rows), met.value_lengths().to_numpy(zero_copy_only=False))
+            flat = met.flatten()
+            counts = np.ones((b.num_rows, trees, levels), np.int64)
+            counts[row, flat.field("tree").to_numpy(zero_copy_only=False)] = flat.field("counts").flatten().to_numpy(zero_copy_only=False).reshape(-1, levels)
+            chosen = np.where(counts[:, :, 0] > 1, shorten(counts, low, threshold, recall), 0)  # 0: alone in this tree
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(chosen.tolist(), pa.list_(pa.int32()))], ["id", "chosen"])
+
+    return run
+
+
+def forest(one: DataFrame, trees: int, depth: int, threshold: float, recall: float, cut: Cut) -> DataFrame:
+    """key, id, sketch, asks: the sets of each trie node, at the prefix they ended at (``asks``) and at those above it."""
+    low = prefix_depth(trees, depth, threshold, recall)
+    label = lambda tree, n: F.substring("sig", 4 * depth * tree + 1, 4 * n)
+    leaves = one.select("id", F.posexplode(F.array(*[label(t, depth) for t in range(trees)])).alias("tree", "label"))
+    ordered = ["tree", "label", "id"]
+    laid = leaves.repartitionByRange(partitions(one.sparkSession), *ordered).sortWithinPartitions(*ordered)
+    met = laid.mapInArrow(_tries(low, depth), "id long, tree int, counts array<long>")
+    met = met.groupBy("id").agg(F.collect_list(F.struct("tree", "counts")).alias("met"))  # at most one row for each tree
+    chosen = cut(met.mapInArrow(_shortened(trees, low, depth, threshold, recall), "id long, chosen array<int>"))
+    nodes = []
+    for t in range(trees):
+        own = F.get("chosen", F.lit(t))
+        nodes += [F.when(own >= d, F.struct(F.xxhash64(F.lit(t), F.lit(d), label(t, d)).alias("key"), (own == d).alias("asks"))) for d in range(low, depth + 1)]
+    out = one.select("id", "sig", "sketch").join(chosen, "id")
+    return out.select("id", "sketch", F.explode(F.array_compact(F.array(*nodes))).alias("node")).select("node.key", "id", "sketch", "node.asks")
+
+
 def linked(sketch: np.ndarray, least: float) -> np.ndarray:
     """Each text's component, over pairs whose signatures agree by ``least`` or more.
 
@@ -138,7 +236,7 @@ def _nodes(least: float):
             return pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in x], ["a", "b"])
 
         for group in runs(batches, ["key", "bi", "bj"]):
-            if group.num_rows < 2:
+            if group.num_rows < 2 or not any(group["asks"].to_pylist()):
                 continue
             ids = group["id"].to_numpy()
             sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
@@ -155,10 +253,10 @@ def _nodes(least: float):
     return run
 
 
-def node_blocks(nodes: DataFrame, per_node: int) -> DataFrame:
+def node_blocks(nodes: DataFrame, per_node: int, cut: Cut) -> DataFrame:
     """The texts of each trie node, once per block pair; a node of up to ``per_node`` texts is one block."""
     hot = nodes.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > per_node)
-    hot = hot.select("key", F.ceil(F.col("n") / per_node).alias("_nb")).checkpoint()
+    hot = cut(hot.select("key", F.ceil(F.col("n") / per_node).alias("_nb")))
     if hot.count() <= BROADCAST_NODES:  # a checked size; else Spark chooses
         hot = F.broadcast(hot)
     return paired(nodes.join(hot, "key", "left").withColumn("_nb", F.coalesce("_nb", F.lit(1).cast("long"))), "id")
@@ -233,41 +331,35 @@ def _within(num: int, den: int):
 
 
 def _known(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), trees: int = 16, depth: int = 4, recall: float = 0.9999, near: float = 0.58, per_block: int = 512, block_shingles: int = 150_000, per_node: int = 8192) -> tuple[DataFrame, DataFrame]:
-    """Rows with shingles (doc, d1, d2), and each distinct set: d1, d2, n_links of its rows and its class's own row (doc, t).
-
-    ``t`` is of a row's whole text; with ``doc`` it finds one set's rows again.
-    """
+    """Rows with shingles (nul, doc, t, d1, d2), and each distinct set: d1, d2, n_links of its rows and its class's own row (nul, doc, t)."""
     spark = prepare(docs.sparkSession)
+    cut = Cut(spark)
     num, den = threshold
-    used = prefix_depth(trees, depth, num / den, recall)
-    texts = docs.select(_doc().alias("doc"), _text_key().alias("t"), "text")
-    rows = texts.mapInArrow(_measure(k, trees, depth, used), "doc long, t binary, d1 long, d2 long, size long, keys array<long>, sketch binary").checkpoint()
-    one = rows.groupBy("d1", "d2").agg(F.min(F.struct("doc", "t")).alias("own"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
-    one = one.withColumn("id", F.monotonically_increasing_id()).checkpoint()  # the checkpoint fixes the numbers
+    texts = docs.select(*[x.alias(c) for c, x in _names().items()], "text")
+    rows = cut(texts.mapInArrow(_measure(k, trees, depth), "nul boolean, doc long, t binary, d1 long, d2 long, size long, sig binary, sketch binary"))
+    one = rows.groupBy("d1", "d2").agg(F.min(F.struct(*ROW)).alias("own"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"))
+    one = cut(one.withColumn("id", F.monotonically_increasing_id()))  # written, so the numbers are fixed
     node = ["key", "bi", "bj"]
-    nodes = node_blocks(one.select(F.explode("keys").alias("key"), "id", "sketch"), per_node)
+    nodes = node_blocks(cut(forest(one, trees, depth, num / den, recall, cut)), per_node, cut)
     nodes = nodes.repartition(partitions(spark), *node).sortWithinPartitions(*node, "sketch", "id")
     cluster = components(nodes.mapInArrow(_nodes(near), "a long, b long"))
-    members = cluster.select(F.col("root").alias("cluster"), "id").join(one.select("id", "own.doc", "own.t", "d1", "d2", "copies", "size"), "id").checkpoint()
-    sets = texts.join(members.select("id", "doc", "t", "d1", "d2"), ["doc", "t"]).select("id", "d1", "d2", "text").mapInArrow(_sets(k), "id long, shingles binary")
+    members = cut(cluster.select(F.col("root").alias("cluster"), "id").join(one.select("id", "own.*", "d1", "d2", "copies", "size"), "id"))
+    sets = texts.join(members.select("id", *ROW, "d1", "d2"), ROW).select("id", "d1", "d2", "text").mapInArrow(_sets(k), "id long, shingles binary")
     sets = sets.groupBy("id").agg(F.first("shingles").alias("shingles"))  # a row that repeats
     met = block_pairs(members.select("cluster", "id", "copies", "size"), ["cluster"], "id", per_block, "size", block_shingles).drop("size").join(sets, "id")
     keys = ["cluster", "bi", "bj"]
     met = met.repartition(partitions(spark), *keys).sortWithinPartitions(*keys)
-    found = met.mapInArrow(_within(num, den), "id long, added long, root long").checkpoint()
+    found = cut(met.mapInArrow(_within(num, den), "id long, added long, root long"))
     links = found.groupBy("id").agg(F.sum("added").alias("added"))
     classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     first = classes.join(one.select("id", "own"), "id").groupBy("root").agg(F.min("own").alias("first"))
     known = one.select("d1", "d2", "id", "own", "copies").join(links, "id", "left").join(classes, "id", "left").join(first, "root", "left")
-    return rows.select("doc", "d1", "d2"), known.select("d1", "d2", (F.col("copies") - 1 + F.coalesce("added", F.lit(0))).alias("n_links"), F.coalesce("first", "own").alias("own"))
-
-
-def _doc() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-1))
+    return rows.select(*ROW, "d1", "d2"), known.select("d1", "d2", (F.col("copies") - 1 + F.coalesce("added", F.lit(0))).alias("n_links"), F.coalesce("first", "own").alias("own"))
 
 
-def _text_key() -> Column:
-    return F.unhex(F.md5(F.col("text").cast("binary")))
+def _names() -> dict[str, Column]:
+    """What names a row; the digest is of its whole text."""
+    return dict(zip(ROW, (F.col("doc_id").isNull(), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.unhex(F.md5(F.col("text").cast("binary")))), strict=True))
 
 
 def _bare() -> Column:
@@ -283,13 +375,16 @@ def ngram_join(docs: DataFrame, **options) -> DataFrame:
     class_id as doc_id (one row, unless doc_ids repeat in a class).
     """
     rows, known = _known(docs, **options)
-    full = rows.join(known, ["d1", "d2"]).select(F.col("doc").alias("id"), F.col("own.doc").alias("class_id"), "n_links")
-    bare = docs.where(_bare()).select(_doc().alias("id"), _doc().alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return full.unionByName(bare).select(F.col("id").alias("doc_id"), "class_id", "n_links", (F.col("id") == F.col("class_id")).alias("kept"))
+    id_ = lambda nul, doc: F.when(~F.col(nul), F.col(doc))
+    full = rows.join(known, ["d1", "d2"]).select(id_("nul", "doc").alias("doc_id"), id_("own.nul", "own.doc").alias("class_id"), "n_links")
+    own = F.col("doc_id").cast("long")
+    bare = docs.where(_bare()).select(own.alias("doc_id"), own.alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return full.unionByName(bare).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """One row of ``docs`` for each class, of the least doc_id in it, and every row without words."""
-    kept = _known(docs, **options)[1].select(F.col("own.doc").alias("_doc"), F.col("own.t").alias("_t")).distinct()
-    own = docs.withColumns({"_doc": _doc(), "_t": _text_key()}).join(kept, ["_doc", "_t"], "left_semi").dropDuplicates(["_doc", "_t"])
+    names = [f"_{c}" for c in ROW]
+    kept = _known(docs, **options)[1].select(*[F.col(f"own.{c}").alias(f"_{c}") for c in ROW]).distinct()
+    own = docs.withColumns({f"_{c}": x for c, x in _names().items()}).join(kept, names, "left_semi").dropDuplicates(names)
     return own.select(*docs.columns).unionByName(docs.where(_bare()))

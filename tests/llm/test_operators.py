@@ -123,24 +123,66 @@ def test_ngram_join(spark, per_block, per_node):
     assert {r["doc_id"] for r in ngram_join.keep_one(docs).collect()} == {i for i in range(len(texts)) if root[i] == i}
 
 
+def least_id(ids):
+    return min((i for i in ids if i is not None), default=None)
+
+
+def nulls_last(rows):
+    return sorted(rows, key=lambda r: [(x is None, 0 if x is None else x) for x in r])
+
+
 def test_ngram_join_with_repeated_ids(spark):
     rng = np.random.default_rng(2)
-    words = [[f"w{x}" for x in rng.integers(0, 10**6, 60)] for _ in range(9)]
+    words = [[f"w{x}" for x in rng.integers(0, 10**6, 60)] for _ in range(10)]
     plain = [" ".join(w) for w in words]
     near = [" ".join([*w[:-1], "other"]) for w in words]
-    rows = [(None, t) for t in plain[:4]] + [(None, near[0]), (None, plain[1]), (7, near[1]), (7, plain[4]), (7, plain[5]), (8, near[4]), (9, near[5]), (9, plain[6]), (9, plain[6]), (3, plain[7]), (None, plain[7]), (5, near[8]), (4, plain[8]), (None, ""), (None, None), (None, "")]
+    rows = [(None, t) for t in plain[:4]] + [(None, near[0]), (None, plain[1]), (7, near[1]), (7, plain[4]), (7, plain[5]), (8, near[4]), (9, near[5]), (9, plain[6]), (9, plain[6]), (3, plain[7]), (None, plain[7]), (5, near[8]), (4, plain[8]), (-1, plain[9]), (0, plain[2]), (None, ""), (None, None), (None, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     group = [plain.index(t) if t in plain else near.index(t) if t in near else -i - 1 for i, (_, t) in enumerate(rows)]
-    least = {g: min(-1 if i is None else i for (i, _), h in zip(rows, group, strict=True) if h == g) for g in group}
-    want = sorted((-1 if i is None else i, least[g], group.count(g) - 1) for (i, _), g in zip(rows, group, strict=True))
+    least = {g: least_id(i for (i, _), h in zip(rows, group, strict=True) if h == g) for g in group}
+    want = nulls_last((i, least[g], group.count(g) - 1, i == least[g]) for (i, _), g in zip(rows, group, strict=True))
     for options in ({}, {"per_block": 3, "per_node": 2}):
-        assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in ngram_join.ngram_join(docs, **options).collect()) == want
-        kept = [(-1 if r["doc_id"] is None else r["doc_id"], r["text"]) for r in ngram_join.keep_one(docs, **options).collect()]
-        names = sorted((plain.index(t) if t in plain else near.index(t), i) for i, t in kept if t)
-        assert names == sorted((g, i) for g, i in least.items() if g >= 0)
+        assert nulls_last(tuple(r) for r in ngram_join.ngram_join(docs, **options).select("doc_id", "class_id", "n_links", "kept").collect()) == want
+        kept = [(r["doc_id"], r["text"]) for r in ngram_join.keep_one(docs, **options).collect()]
+        names = sorted((plain.index(t) if t in plain else near.index(t), i is None, i) for i, t in kept if t)
+        assert names == sorted((g, i is None, i) for g, i in least.items() if g >= 0)
         assert len([t for _, t in kept if not t]) == 3
 
 
+def test_prefixes_are_shortened_to_the_target():
+    rng = np.random.default_rng(6)
+    counts = np.sort(rng.integers(1, 50, (200, 16, 3)), axis=2)[:, :, ::-1]
+    counts[:, :4] = 1
+    got = ngram_join.shorten(counts, 2, 0.8, 0.9999)
+    miss = np.prod(1 - 0.8 ** got.astype(float), axis=1)
+    assert (miss <= 1.0001e-4).all() and got.min() >= 2 and got.max() == 4 and (got[:, :4] <= 3).any()
+    deep = ngram_join.shorten(np.ones((1, 16, 3), int), 2, 0.8, 0.5)
+    assert deep.max() == 4  # a low target is met by full labels
+
+
+def test_recall_against_the_exact_join(spark):
+    """All pairs of the sf0.01 texts at 0.8 or more, by an inverted index."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sets = {}
+    for r in docs.collect():
+        w = WORD.findall(low(r["text"]))
+        sets[r["doc_id"]] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    where, shared = defaultdict(list), defaultdict(int)
+    for i, s in sets.items():
+        for x in s:
+            where[x].append(i)
+    for ids in where.values():
+        for pair in itertools.combinations(sorted(ids), 2):
+            shared[pair] += 1
+    n = defaultdict(int)
+    for (a, b), k in shared.items():
+        if 9 * k >= 4 * (len(sets[a]) + len(sets[b])):
+            n[a] += 1
+            n[b] += 1
+    got = {r["doc_id"]: r["n_links"] for r in ngram_join.ngram_join(docs).collect()}
+    assert sum(n.values()) > 50 and got == {i: n[i] for i in sets}
+
+
 def test_linked_signatures_hot_node():
     rng = np.random.default_rng(0)
     sketch = np.repeat(rng.integers(0, 255, (1, 64), dtype=np.uint8), 300, 0)
@@ -171,6 +213,22 @@ def test_embedding_links(spark, per_block, per_cell):
     assert got == {r[0]: (count[r[0]], root[r[0]], root[r[0]] == r[0]) for r in rows}
 
 
+def test_embedding_links_of_repeated_ids(spark):
+    rng = np.random.default_rng(8)
+    x, y, z, w = (rng.normal(size=8) for _ in range(4))
+    close = lambda v: v + rng.normal(size=8) * 0.01
+    rows = [(1, x, 0), (1, y, 0), (2, close(y), 0), (3, close(y), 0), (None, z, 0), (None, close(z), 0), (None, w, 1), (4, close(w), 1), (4, close(w), 1), (-1, x, 1), (None, x, 1), (None, None, 0), (5, None, 0)]
+    rows = [(i, None if v is None else [float(e) for e in v], k) for i, v, k in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    units = [None if v is None else np.array(np.float32(v), float) / np.linalg.norm(np.array(np.float32(v), float)) for _, v, _ in rows]
+    links = [(i, j) for i, j in itertools.combinations(range(len(rows)), 2) if rows[i][2] == rows[j][2] and units[i] is not None and units[j] is not None and units[i] @ units[j] >= 0.98]
+    root = classes(range(len(rows)), links)
+    names = {r: least_id(rows[i][0] for i in root if root[i] == r) for r in set(root.values())}
+    want = nulls_last((rows[i][0], sum(i in p for p in links), names[root[i]], rows[i][0] == names[root[i]]) for i in range(len(rows)))
+    for options in ({}, {"per_block": 2, "per_cell": 2}):
+        assert nulls_last(tuple(r) for r in embedding_dedup.link_vectors(df, **options).select("vec_id", "n_links", "component_id", "kept").collect()) == want
+
+
 def brute_repeats(rows, span=50):
     first = {}
     for i, b in rows:
@@ -308,14 +366,26 @@ def test_rotation(spark):
     assert by[1, "bob", "0.0"]["n_turns"] == 4 and len(by[1, "bob", "0.0"]["mask"].split(",")) == 2
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [100_000, 0])
+def test_components(spark, few):
     prepare(spark)
     rng = np.random.default_rng(0)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 150), (5, 5)] + [(300, int(x)) for x in rng.integers(301, 400, 300)]
-    got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long").repartition(7)).collect()}
+    got = {r["id"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long").repartition(7), few).collect()}
     assert got == {i: r for i, r in classes({x for e in edges if e[0] != e[1] for x in e}, edges).items()}
 
 
+def test_components_of_an_adverse_path(spark):
+    """A path whose ids jump about, its links dealt over many tasks: rounds grow with the logarithm of its length."""
+    prepare(spark)
+    n = 2000
+    path = [x for i in range(n // 2) for x in (i, n - 1 - i)]
+    edges = spark.createDataFrame(list(zip(path, path[1:], strict=False)), "a long, b long").repartition(64)
+    got = components(edges, 20).collect()
+    assert sorted((r["id"], r["root"]) for r in got) == [(i, 0) for i in range(n)]
+    assert not components(edges.where("false"), 0).collect()
+
+
 def test_hostile_tables(spark, nasty, labels):
     empty = nasty.where("false")
     bench = spark.createDataFrame([(1, BASE), (None, "x"), (2, None)], "item_id long, text string")

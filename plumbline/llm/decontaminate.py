@@ -6,11 +6,14 @@ shared span of ``window`` words; each hit is then extended to the windows around
 compared word by word.  An item of fewer words is one window of its own length and is looked up at
 that length.
 
-Items are taken in blocks of at most ``block_bytes`` of text; each block's index is broadcast, so
-its size has a bound however long the benchmark is.  With one block there is no shuffle; with more,
-the blocks' hits are merged by document row.  A null or empty text has no words and is never
-contaminated; items without words match nothing; repeated rows are judged row by row; extra columns
-are ignored.
+Items of up to ``block_bytes`` of text are one index, broadcast, and documents need no shuffle.  More
+items stay a table: tasks write their fingerprints and windows, and only a bitmap of ``2 ** bits`` bits of
+the fingerprints is broadcast (16 MB).  Documents are scanned once with it; the windows around what it lets pass
+are joined to the items' windows by hash and digest, and what joins goes back to the rows by doc_id and
+digest of the text.  Both ways give the same rows.
+
+A null or empty text has no words and is never contaminated; items without words match nothing;
+repeated rows are judged row by row; a null doc_id stays null; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,11 +23,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, grams, mix, prepare, slices, utf8
+from .common import Cut, Words, grams, mix, prepare, slices, utf8
 
 
 def least(g: np.ndarray, w: int) -> np.ndarray:
@@ -120,11 +123,7 @@ def found(ws: Words, index: Index) -> Iterator[tuple[int, int, np.ndarray]]:
             at = np.unique((hit[:, None] - np.arange(w - k + 1)).ravel())
             at = at[(at >= 0) & (at <= len(ws) - n)]
             at = at[doc[at] == doc[at + n - 1]]
-            h = ws.hash[at].copy()
-            for j in range(1, n):
-                h *= np.uint64(0x9E3779B97F4A7C15)
-                h += ws.hash[at + j]
-            h = mix(h + np.uint64(n))
+            h = windows_at(ws, at, n)
         else:
             h = grams(ws.hash, n)
             at = np.flatnonzero(doc[: len(h)] == doc[n - 1 :])
@@ -136,12 +135,9 @@ def found(ws: Words, index: Index) -> Iterator[tuple[int, int, np.ndarray]]:
                 yield i, n, items
 
 
-def item_blocks(items: DataFrame, block_bytes: int) -> list[DataFrame]:
-    total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    n = -(-int(total) // block_bytes)
-    if n <= 1:
-        return [items]
-    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) for i in range(n)]
+def one_index(items: DataFrame, block_bytes: int) -> bool:
+    """Whether the items fit one broadcast index."""
+    return (items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0) <= block_bytes
 
 
 def ordered(names: set[str | None]) -> list[str | None]:
@@ -183,19 +179,147 @@ def _fields(names: list[str]) -> list[T.StructField]:
     return [T.StructField(n, kinds[n.lstrip("_")]) for n in names]
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
+# ---------------------------------------------------------------- more items than one index holds
+WINDOW = "n int, h long, w binary"  # words, hash, digest
+
+
+def digests(ws: Words, at: np.ndarray, n: int) -> list[bytes]:
+    return [hashlib.md5(ws.key(i, n), usedforsecurity=False).digest() for i in at.tolist()]
+
+
+def windows_at(ws: Words, at: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the windows of n words from the places ``at``."""
+    h = ws.hash[at].copy()
+    for j in range(1, n):
+        h *= np.uint64(0x9E3779B97F4A7C15)
+        h += ws.hash[at + j]
+    return mix(h + np.uint64(n))
+
+
+def _item_windows(window: int, k: int):
+    """item, windows (with the fingerprints of each window's length, as f) of a task's items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offs = utf8(b.column("text"))
+            for row in range(b.num_rows):
+                ws = Words(data, offs[row : row + 2])
+                n = min(len(ws), window)
+                if not n:
+                    continue
+                at = np.arange(len(ws) - n + 1)
+                h = windows_at(ws, at, n)
+                prints = grams(ws.hash, k)[least(grams(ws.hash, k), window - k + 1)] if n == window else h
+                item = b.column("item_id").slice(row, 1).take(pa.array(np.zeros(len(at), np.int64)))
+                yield pa.RecordBatch.from_arrays([item, pa.array(np.full(len(at), n, np.int32)), pa.array(h.view(np.int64)), pa.array(digests(ws, at, n), pa.binary()), pa.array(prints.view(np.int64))], ["item_id", "n", "h", "w", "f"])
+
+    return run
+
+
+def _bitmaps(bits: int):
+    """A bitmap with a bit for each fingerprint that a task sees, and the windows' lengths as bits of a number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, lengths = np.zeros((1 << bits) // 8, np.uint8), 0
+        for b in batches:
+            bit = b.column("f").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+            np.bitwise_or.at(own, (bit >> np.uint64(3)).astype(np.int64), np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
+            for n in np.unique(b.column("n").to_numpy()).tolist():
+                lengths |= 1 << n
+        yield pa.RecordBatch.from_arrays([pa.array([lengths], pa.int64()), pa.array([own.tobytes()], pa.binary())], ["lengths", "bits"])
+
+    return run
+
+
+def bitmap_of(prints: DataFrame, bits: int) -> tuple[list[int], bytes]:
+    """(lengths of windows, bitmap) of all items: four tasks make one each and the driver merges them, whatever the items' number."""
+    made = prints.repartition(4).mapInArrow(_bitmaps(bits), "lengths long, bits binary").toArrow()
+    whole, lengths = np.zeros((1 << bits) // 8, np.uint8), 0
+    for n, x in zip(made["lengths"].to_pylist(), made["bits"].to_pylist(), strict=True):
+        whole |= np.frombuffer(x, np.uint8)
+        lengths |= n
+    return [n for n in range(63) if lengths >> n & 1], whole.tobytes()
+
+
+def _candidates(shared, window: int, k: int, bits: int):
+    """Adds _n_words and _candidates (at, n, h, w): windows whose fingerprint the bitmap has."""
+    kind = pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int32()), ("h", pa.int64()), ("w", pa.binary())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lengths, raw = shared.value
+        held = np.frombuffer(raw, np.uint8)
+        known = lambda h: (held[(h >> np.uint64(67 - bits)).astype(np.int64)] >> ((h >> np.uint64(64 - bits)) & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        for b in batches:
+            data, offs = utf8(b.column(b.schema.names.index("text")))
+            n_words, out = [], []
+            for lo, hi in slices(offs):
+                ws = Words(data, offs[lo : hi + 1])
+                doc = ws.doc()
+                got: list[list[dict]] = [[] for _ in range(hi - lo)]
+                for n in lengths:
+                    if len(ws) < n:
+                        continue
+                    if n == window:
+                        g = grams(ws.hash, k)
+                        chosen = np.unique(least(g, n - k + 1))
+                        hit = chosen[known(g[chosen])]
+                        at = np.unique((hit[:, None] - np.arange(n - k + 1)).ravel())
+                        at = at[(at >= 0) & (at <= len(ws) - n)]
+                        at = at[doc[at] == doc[at + n - 1]]
+                        h = windows_at(ws, at, n)
+                    else:
+                        at = np.flatnonzero(doc[: len(ws) - n + 1] == doc[n - 1 :])
+                        h = windows_at(ws, at, n)
+                        at, h = at[known(h)], h[known(h)]
+                    for i, x, w in zip(at.tolist(), h.view(np.int64).tolist(), digests(ws, at, n), strict=True):
+                        got[doc[i]].append({"at": i - int(ws.first[doc[i]]), "n": n, "h": x, "w": w})
+                n_words += np.diff(ws.first).tolist()
+                out += got
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n_words, pa.int64()), pa.array(out, kind)], [*b.schema.names, "_n_words", "_candidates"])
+
+    return run
+
+
+class Fingerprints:
+    """The items as tables, for any number of items."""
+
+    def __init__(self, items: DataFrame, window: int, k: int, bits: int, cut: Cut):
+        self.window, self.k, self.bits, self.cut = window, k, bits, cut
+        every = cut(items.mapInArrow(_item_windows(window, k), f"item_id string, {WINDOW}, f long"))
+        self.windows = every.select("item_id", "n", "h", "w").distinct()
+        self.shared = items.sparkSession.sparkContext.broadcast(bitmap_of(every.select("n", "f"), bits))
+
+    def scanned(self, docs: DataFrame) -> DataFrame:
+        """``docs`` with _n_words and _candidates."""
+        more = [T.StructField("_n_words", T.LongType()), T.StructField("_candidates", T.ArrayType(T.StructType([T.StructField("at", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("h", T.LongType()), T.StructField("w", T.BinaryType())])))]
+        return docs.mapInArrow(_candidates(self.shared, self.window, self.k, self.bits), T.StructType([*docs.schema.fields, *more]))
+
+    def hits(self, found: DataFrame) -> DataFrame:
+        """_t, at, n, item_id: each text (by its digest, once) and item with a window of it."""
+        each = found.select("_t", "_candidates").dropDuplicates(["_t"]).select("_t", F.explode("_candidates").alias("c")).select("_t", "c.*")
+        return each.join(self.windows, ["n", "h", "w"])
+
+
+def _digest() -> Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5, block_bytes: int = 8 << 20, bits: int = 27) -> DataFrame:
     """The rows of ``docs`` in which no item window occurs."""
     spark = prepare(docs.sparkSession)
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    out = docs
-    for part in item_blocks(items, block_bytes):
-        index = spark.sparkContext.broadcast(Index([tuple(r) for r in part.collect()], window, k))
+    if one_index(items, block_bytes):
+        index = spark.sparkContext.broadcast(Index([tuple(r) for r in items.collect()], window, k))
         fields = _fields(["_n_words", "_n_hit", "_hits", "_items"])
-        out = out.mapInArrow(mapper(index, True), T.StructType([*docs.schema.fields, *fields])).where("_n_hit = 0").select(*docs.columns)
-    return out
+        return docs.mapInArrow(mapper(index, True), T.StructType([*docs.schema.fields, *fields])).where("_n_hit = 0").select(*docs.columns)
+    tables = Fingerprints(items, window, k, bits, Cut(spark))
+    scanned = tables.scanned(docs)
+    some = scanned.where(F.size("_candidates") > 0).withColumn("_t", _digest())
+    bad = tables.hits(some).select("_t").distinct()
+    return scanned.where(F.size("_candidates") == 0).select(*docs.columns).unionByName(some.join(bad, "_t", "left_anti").select(*docs.columns))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, k: int = 5, block_bytes: int = 8 << 20, bits: int = 27) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated: one row for each input row.
 
     ``items_sha256`` is of the item_ids that occur, sorted as strings and joined by commas.  Items with a
@@ -203,35 +327,22 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, k: int =
     """
     spark = prepare(docs.sparkSession)
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    blocks = item_blocks(items, block_bytes)
-
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "n_words long, n_hit long, hits binary, items array<string>"
-    index = lambda part: spark.sparkContext.broadcast(Index([tuple(r) for r in part.collect()], window, k))
-    if len(blocks) == 1:
-        out = docs.mapInArrow(mapper(index(blocks[0])), f"doc_id long, {schema}").drop("hits")
-    else:
-        rows = docs.withColumn("row", F.struct("doc_id", F.sha2("text", 256).alias("h"))).select("doc_id", "row.h", "text")
-        rows = rows.groupBy("doc_id", "h").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-        parts = [rows.mapInArrow(mapper(index(p)), f"doc_id long, h string, copies long, {schema}") for p in blocks]
-        every = parts[0]
-        for p in parts[1:]:
-            every = every.unionByName(p)
-
-        def merge(pdf):
-            import pandas as pd
-
-            hits = np.unique(np.concatenate([np.frombuffer(x, "<i8") for x in pdf["hits"]]))
-            got = ordered({i for x in pdf["items"] for i in x})
-            r = pdf.iloc[0]
-            one = {"doc_id": r["doc_id"], "n_words": r["n_words"], "n_hit": len(hits), "items": got}
-            return pd.DataFrame([one] * int(r["copies"]))
-
-        out = every.groupBy(F.coalesce("doc_id", F.lit(-1)), "h").applyInPandas(merge, "doc_id long, n_words long, n_hit long, items array<string>")
-    return out.select(
-        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
-    )
+    names, n_items = F.array_join("items", ","), F.size("items").cast("long")
+    if one_index(items, block_bytes):
+        index = spark.sparkContext.broadcast(Index([tuple(r) for r in items.collect()], window, k))
+        out = docs.mapInArrow(mapper(index), "doc_id long, n_words long, n_hit long, hits binary, items array<string>")
+        return out.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"), F.sha2(names.cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+    cut = Cut(spark)
+    tables = Fingerprints(items, window, k, bits, cut)
+    scanned = cut(tables.scanned(docs).withColumn("_t", _digest()).drop("text"))
+    hits = cut(tables.hits(scanned.where(F.size("_candidates") > 0)))
+    places = hits.select("_t", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("place")).distinct().groupBy("_t").agg(F.count("*").alias("n_hit"))
+    by = hits.select("_t", "item_id").distinct().groupBy("_t").agg(F.count("*").alias("n_items"), F.array_join(F.array_sort(F.collect_list("item_id")), ",").alias("names"))
+    known = cut(places.join(by, "_t"))
+    out = scanned.select("doc_id", "_t", F.col("_n_words").alias("n_words")).join(known, "_t", "left")
+    count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    return out.select("doc_id", "n_words", count("n_hit").alias("n_hit"), count("n_items").alias("n_items"), F.sha2(F.coalesce("names", F.lit("")).cast("binary"), 256).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"))
 
 
 def sha256_of(items: list[str]) -> str:

@@ -42,13 +42,14 @@ SELECT doc_id, CAST(len(list_filter(base, lambda x: x.r = 0)) AS BIGINT) n_assig
 SQL["op10_secret_scan"] = _secrets()
 
 
-def _mixing(rounds: int = 6, keep: float = 0.5) -> str:
-    from .mixing import TARGETS
+def _mixing(rounds: int = 24, keep: float = 0.5) -> str:
+    from .mixing import MARKUP, TARGETS
 
     margins = ("source", "lang", "topic")
+    among = lambda chars: f"(length(t) - length(translate(t, '{chars}', '')))"
     base = f"""
 WITH d AS (SELECT doc_id, coalesce(source, '') source, coalesce(lang, '') lang, coalesce(text, '') t, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\r\\n]+')) n FROM documents),
-m AS (SELECT doc_id, source, lang, n, CASE WHEN n = 0 THEN 'empty' WHEN contains(t, 'icensed under') THEN 'licensed' WHEN contains(t, '@') THEN 'contact' WHEN contains(t, ' | ') THEN 'table' WHEN n > 600 THEN 'long' WHEN n < 100 THEN 'short' ELSE 'prose' END topic FROM d),
+m AS (SELECT doc_id, source, lang, n, CASE WHEN n = 0 THEN 'empty' WHEN {among(MARKUP)} * 50 >= length(t) THEN 'markup' WHEN {among('0123456789')} * 20 >= length(t) THEN 'figures' WHEN n < 100 THEN 'short' WHEN n > 600 THEN 'long' ELSE 'prose' END topic FROM d),
 c AS (SELECT source, lang, topic, CAST(sum(n) AS DOUBLE) tokens FROM m GROUP BY ALL HAVING sum(n) > 0)"""  # noqa: S608
     for m in margins:
         base += f",\nt_{m} AS (SELECT {m}, pow(sum(tokens), {TARGETS[m]}) / sum(pow(sum(tokens), {TARGETS[m]})) OVER () t FROM c GROUP BY {m})"
@@ -58,27 +59,27 @@ c AS (SELECT source, lang, topic, CAST(sum(n) AS DOUBLE) tokens FROM m GROUP BY
         for m in margins:
             base += f",\nw{k + 1} AS MATERIALIZED (SELECT * REPLACE (w * t_{m} / sum(w) OVER (PARTITION BY {m}) AS w) FROM w{k})"
             k += 1
-    base += f",\np0 AS MATERIALIZED (SELECT source, lang, topic, tokens, w / sum(w) OVER () w, false AS full_, 0.0::DOUBLE p, {keep} * sum(tokens) OVER () budget FROM w{k})"
-    for i in range(6):
-        base += f",\np{i + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, w, q >= 1 AS full_, least(q, 1.0) p, budget FROM (SELECT *, CASE WHEN full_ THEN 1.0 ELSE (budget - sum(CASE WHEN full_ THEN tokens ELSE 0 END) OVER ()) * w / sum(CASE WHEN full_ THEN 0 ELSE w END) OVER () / tokens END q FROM p{i}))"
-    return base + """
+    return base + f""",
+p AS MATERIALIZED (SELECT source, lang, topic, tokens, w / sum(w) OVER () w FROM w{k}),
+o AS (SELECT *, sum(tokens) OVER z - tokens full_, sum(w) OVER z - w gone, {keep} * sum(tokens) OVER () budget FROM p WINDOW z AS (ORDER BY tokens / w, source, lang, topic ROWS UNBOUNDED PRECEDING)),
+l AS (SELECT arg_min(level, full_) level FROM (SELECT (budget - full_) / (1 - gone) level, full_, tokens / w r FROM o) WHERE level <= r),
+q AS (SELECT source, lang, topic, least(1.0, level * w / tokens) p FROM p, l)
 SELECT doc_id, source, lang, topic, CAST(n AS BIGINT) n_tokens, round(coalesce(p, 0), 6) probability, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) / pow(2, 48) < coalesce(round(p, 9), 0) kept
-FROM m LEFT JOIN p6 USING (source, lang, topic)
+FROM m LEFT JOIN q USING (source, lang, topic)
 """
 
 
 SQL["op6_mixing"] = _mixing()
 SQL["op8_chat_format"] = """
-WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') role, replace(coalesce(text, ''), '<|', '< |') text, coalesce(CAST(floor(turn / 64) AS BIGINT), 0) b FROM conversations),
-n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, b ORDER BY turn NULLS FIRST, role, text) n FROM t),
+WITH t AS (SELECT conv_id, turn, regexp_replace(replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '|>', '| >'), '[\\x00-\\x1F\\x7F]', ' ', 'g') role, replace(coalesce(text, ''), '<|', '< |') text FROM conversations),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) n FROM t),
 s AS (SELECT DISTINCT conv_id, role perspective FROM t WHERE role <> 'system'),
-g AS (SELECT n.conv_id, perspective, b, CAST(floor((n - 1) / 64) AS BIGINT) sub, n, role = perspective own,
+g AS (SELECT n.conv_id, perspective, n, role = perspective own,
  CASE WHEN role = 'system' THEN '<|system|>' || chr(10) WHEN role = perspective THEN '<|assistant|>' || chr(10) ELSE '<|user name=' || role || '|>' || chr(10) END head, text || '<|end|>' body
  FROM n JOIN s ON n.conv_id IS NOT DISTINCT FROM s.conv_id),
-o AS (SELECT *, CAST(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective, b, sub ORDER BY n) - length(body) - 1 AS BIGINT) st FROM g)
-SELECT conv_id, perspective, b || '.' || sub part, count(*) n_turns, string_agg(head || body || chr(10), '' ORDER BY n) AS text,
- coalesce(string_agg(st || ':' || (st + length(body)), ',' ORDER BY n) FILTER (own), '') mask, CAST(coalesce(sum(length(body)) FILTER (own), 0) AS BIGINT) n_masked
-FROM o GROUP BY conv_id, perspective, b, sub
+o AS (SELECT *, CAST(sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, perspective ORDER BY n) AS BIGINT) e FROM g)
+SELECT conv_id, perspective, n, head || body || chr(10) AS text, e - 1 - length(body) - length(head) AS start, CASE WHEN own THEN (e - 1 - length(body)) || ':' || (e - 1) ELSE '' END mask, CAST(CASE WHEN own THEN length(body) ELSE 0 END AS BIGINT) n_masked
+FROM o
 """
 
 SQL["op5_embedding_dedup"] = """

@@ -2,14 +2,16 @@
 
 Tier 1 is a broadcast table of frequent pre-tokens and their token counts, of at most
 ``table_size`` entries; tier 2 encodes a miss with the tokenizer and keeps it in a bounded cache of
-the worker.  The table comes from a bounded sample (``sample_rows``), which can change the speed
-but never a count.  Null and empty texts have 0 tokens; repeated rows are counted row by row; extra
+the worker.  The table comes from a sample of about ``sample_rows`` rows of all partitions, tallied where
+they are read; it can change the speed but never a count.  A tokenizer whose pre-tokens are not those of
+``PIECES`` (byte-level, with its standard pattern, no normaliser) is refused.  Null and empty texts have 0 tokens; repeated rows are counted row by row; extra
 columns are ignored; special-token strings inside a text count as the library takes them by default
 (one token each).
 """
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,6 +38,11 @@ def _tokenizer(path: str):
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
+        with open(path) as f:
+            spec = json.load(f)
+        pre = spec.get("pre_tokenizer") or {}
+        if pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) or spec.get("normalizer") or spec["model"].get("type") != "BPE":
+            raise ValueError(f"{path}: only byte-level BPE with the standard pre-token pattern can be counted by pre-tokens")
         t.no_truncation()
         t.no_padding()
         specials = [a.content for a in t.get_added_tokens_decoder().values() if a.special]
@@ -102,7 +109,8 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequent_pieces(docs: DataFrame, tokenizer: str, table_size: int, sample_rows: int) -> bytes:
     """The table as one block: token counts, then the pre-tokens, each ended by a zero byte."""
-    some = docs.select("text").limit(sample_rows)
+    n = docs.count()
+    some = docs.select("text").sample(min(1.0, sample_rows / n), seed=1) if n else docs.select("text")
     top = some.mapInArrow(_tally, "p string, n long").groupBy("p").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "p").limit(table_size).collect()
     pieces = [r["p"] for r in top if "\0" not in r["p"]]
     tok, specials = _tokenizer(resolve(tokenizer))

@@ -1,16 +1,18 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Transducers read words: *insult* (stems and words with learned weights), *threat* (a modal or
-"hope", then a verb of harm, then or before a target), *target*, *negation* and *reported speech*.
-Composed, they read a clause from left to right and emit its weight: an insult counts more where
-the clause has a target, less after a negation, and less in reported speech.  A text's clause
-weights, and the number of its strongest insults, become a score by logistic regression.
+Words are read as kinds: target, negation, reported speech, modal, harm or other, and as insults by
+stems with learned weights.  Four weighted transducers read a clause (``NEGATED``, ``TOLD``, ``AIMED``,
+``THREAT``, below, as data) and are composed into one machine, whose run gives the clause's weight: an
+insult counts half within three words after a negation, 0.7 of it in reported speech, and a quarter
+more where the clause has a target, before or after it (the machine follows both readings, and only
+the true one is accepted); a modal and then a verb of harm, with a target, add a threat.  A text's
+clause weights, and the number of its strongest insults, become a score by logistic regression.
 
 Insult stems are learned: words and their prefixes of 3 to 8 bytes whose document frequency differs
 between toxic and other labelled rows.  Learning takes at most ``per_class`` rows of each class,
 chosen by a hash of doc_id; one half gives the stems and the other the calibration.  Null and empty
 texts have no clauses and get the score of a text without matches; texts are read whole; repeated
-rows are scored row by row.
+rows are scored row by row; with no labels, or of one class, every score is that class's share.
 """
 
 from __future__ import annotations
@@ -22,17 +24,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, fold, labelled_sample, prepare, slices, utf8
+from .common import Cut, Words, fold, labelled_sample, prepare, slices, utf8
 from .decontaminate import among
 from .logistic import Logistic
-
-#: Words of the fixed transducers.
-TARGET = "you your yours you're he she they them him her people everyone ihr du dich sie vous tu toi usted ustedes"
-NEGATION = "not no never isn aren don doesn nicht kein keine pas jamais nunca"
-REPORTED = "said says wrote claimed quoted reported called sagte schrieb dit écrit dijo escribió"
-MODAL = "will gonna shall should hope werde voy vais"
-HARM = "kill hurt die destroy punish beat töten tuer matar"
-CLASSES = {"target": 1, "negation": 2, "reported": 3, "modal": 4, "harm": 5}
+from .transducers import ANY, KINDS, Compiled, Transducer, compose
+
+#: Words of each kind.
+WORDS = {
+    "target": "you your yours he she they them him her people everyone ihr du dich sie vous tu toi usted ustedes",
+    "negation": "not no never isn aren don doesn nicht kein keine pas jamais nunca",
+    "reported": "said says wrote claimed quoted reported called sagte schrieb dit écrit dijo escribió",
+    "modal": "will gonna shall should hope werde voy vais",
+    "harm": "kill hurt die destroy punish beat töten tuer matar",
+}
+#: A negation reaches the three words after it.
+NEGATED = Transducer(
+    ("free",),
+    {("free", ANY): "free", ("n0", ANY): "n1", ("n1", ANY): "n2", ("n2", ANY): "n3", ("n3", ANY): "free", **{(s, "negation"): "n0" for s in ("free", "n0", "n1", "n2", "n3")}},
+    {s: ("n", 0.5) for s in ("n0", "n1", "n2", "n3")},
+    dict.fromkeys(("free", "n0", "n1", "n2", "n3"), 1.0),
+)
+#: Reported speech lasts to the end of the clause; a threat in it counts less too.
+TOLD = Transducer(("own",), {("own", "reported"): "told", ("own", ANY): "own", ("told", ANY): "told"}, {"told": ("r", 0.7)}, {"own": 1.0, "told": 0.7})
+#: Two readings: a target comes (or came), or there is none; a threat needs one.
+AIMED = Transducer(
+    ("awaited", "none"),
+    {("awaited", "target"): "aimed", ("awaited", ANY): "awaited", ("aimed", ANY): "aimed", **{("none", k): "none" for k in KINDS if k != "target"}},
+    {"awaited": ("t", 1.25), "aimed": ("t", 1.25)},
+    {"aimed": 1.0, "none": 0.0},
+)
+THREAT = Transducer(("calm",), {("calm", "modal"): "meant", ("calm", ANY): "calm", ("meant", "harm"): "threat", ("meant", ANY): "meant", ("threat", ANY): "threat"}, {}, {"calm": 0.0, "meant": 0.0, "threat": 4.0})
+GRAMMAR = compose(compose(NEGATED, TOLD), compose(AIMED, THREAT))
+STRONG = 5.0  # of an insult's weight
 LENGTHS = range(3, 9)
 CLAUSE = np.zeros(256, np.int64)
 CLAUSE[[10, 33, 46, 58, 59, 63]] = 1
@@ -58,7 +81,8 @@ class Grammar:
     def __init__(self, weights: dict[int, float]):
         self.hashes = np.sort(np.fromiter(weights, np.uint64, len(weights)))
         self.weights = np.array([weights[int(h)] for h in self.hashes])
-        self.fixed = {c: word_hashes(w) for c, w in ((1, TARGET), (2, NEGATION), (3, REPORTED), (4, MODAL), (5, HARM))}
+        self.fixed = {KINDS.index(k): word_hashes(w) for k, w in WORDS.items()}
+        self.machine = Compiled(GRAMMAR)
 
     def insults(self, ws: Words) -> np.ndarray:
         """The weight of each word: that of its heaviest stem, or 0."""
@@ -71,32 +95,8 @@ class Grammar:
                 np.maximum.at(out, places[ok], self.weights[at[ok]])
         return out
 
-    def clause(self, kinds: list[int], weights: list[float]) -> tuple[float, int, int, int]:
-        """(weight, insults, negated, reported) of a clause, by one pass of the composed transducer."""
-        total, hits, negated, told = 0.0, 0, 0, 0
-        since_no, reported, modal, harm = 9, False, False, False
-        target = 1 in kinds
-        for kind, w in zip(kinds, weights, strict=True):
-            since_no = 0 if kind == 2 else since_no + 1
-            reported |= kind == 3
-            modal |= kind == 4
-            if kind == 5 and modal:
-                harm = True
-            if w:
-                hits += 1
-                if since_no <= 3:
-                    w *= 0.5
-                    negated += 1
-                if reported:
-                    w *= 0.7
-                    told += 1
-                total += w * (1.25 if target else 1.0)
-        if harm and target:
-            total += 4.0 * (0.7 if reported else 1.0)
-        return total, hits, negated, told
-
     def __call__(self, ws: Words) -> np.ndarray:
-        """The features of each text."""
+        """The features of each text: weight of its clauses, of the heaviest, insults, insults in 100 words, strong insults, negated, reported (log1p of each)."""
         out = np.zeros((len(ws.offs) - 1, FEATURES))
         if not len(ws):
             return out
@@ -104,20 +104,24 @@ class Grammar:
         kinds = np.zeros(len(ws), np.int8)
         for c, h in self.fixed.items():
             kinds[among(ws.hash, h)] = c
-        seed = np.flatnonzero((weights > 0) | (kinds == 5))
-        if not len(seed):
+        seed = (weights > 0) | (kinds == KINDS.index("harm"))
+        if not seed.any():
             return out
         doc = ws.doc()
         clause = np.concatenate([[0], np.cumsum(CLAUSE[ws.data])])[ws.start] + doc  # a new text is a new clause
-        clauses = np.unique(clause[seed])
-        lo, hi = np.searchsorted(clause, clauses), np.searchsorted(clause, clauses, "right")
-        for s, e in zip(lo.tolist(), hi.tolist(), strict=True):
-            total, hits, negated, told = self.clause(kinds[s:e].tolist(), weights[s:e].tolist())
-            f = out[doc[s]]
-            f += (total, 0, hits, 0, (weights[s:e] >= 5).sum(), negated, told)
-            f[1] = max(f[1], total)
-        size = np.maximum(1, np.diff(ws.first))
-        out[:, 3] = 100 * out[:, 2] / size
+        wanted = among(clause, np.unique(clause[seed]))  # a clause without insult or harm weighs nothing
+        kinds, weights, clause, doc = kinds[wanted], weights[wanted], clause[wanted], doc[wanted]
+        total, marks = self.machine(kinds, weights, clause)
+        first = np.flatnonzero(np.r_[True, clause[1:] != clause[:-1]])
+        of = doc[first]
+        add = lambda column, values, where: np.add.at(out[:, column], where, values)
+        add(0, total, of)
+        np.maximum.at(out[:, 1], of, total)
+        add(2, weights > 0, doc)
+        add(4, weights >= STRONG, doc)
+        add(5, marks["n"], of)
+        add(6, marks["r"], of)
+        out[:, 3] = 100 * out[:, 2] / np.maximum(1, np.diff(ws.first))
         return np.log1p(out)
 
 
@@ -144,7 +148,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, keep, per_class: int, most_stems: int) -> tuple[Grammar, Logistic]:
-    sample = labelled_sample(docs, labels, "toxic", keep, per_class).where("text is not null")
+    sample = Cut(docs.sparkSession)(labelled_sample(docs, labels, "toxic", keep, per_class)).where("text is not null")  # documents are read for it once
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
     first = sample.where(half == 0)
     sizes = {r["y"]: r["n"] for r in first.groupBy("y").agg(F.count("*").alias("n")).collect()}

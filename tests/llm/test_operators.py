@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import chat_format, decontaminate, embedding_dedup, mixing, ngram_join, quality, secret_scan, suffix_dedup, token_counts, toxicity
 from plumbline.llm.bwt import Shards, merge
-from plumbline.llm.common import components, labelled_sample, prepare
+from plumbline.llm.common import Cut, components, labelled_sample, prepare
+from plumbline.llm.transducers import KINDS, Compiled
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 BASE = "the quick brown fox jumps over a lazy dog while seven more wolves sleep near cold rivers of northern plains and dream about summer fields"
@@ -330,13 +332,60 @@ def test_endpoints_of_any_scheme(spark):
 def test_mixing_meets_targets(spark):
     rows = [(i, "word " * (5 + i % 7), ("a", "b", "c")[min(2, i % 5)], ("en", "de")[i % 2]) for i in range(4000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
-    out = mixing.mix_to_targets(docs, keep=0.2, targets={"source": {"a": 1.0, "b": 1.0, "c": 2.0}, "lang": 1.0, "topic": 1.0}, rounds=12).toPandas()
+    out = mixing.mix_to_targets(docs, keep=0.2, targets={"source": {"a": 1.0, "b": 1.0, "c": 2.0}, "lang": 1.0, "topic": 1.0}).toPandas()
     expected = (out.n_tokens * out.probability).groupby(out.source).sum()
-    assert np.allclose(expected / expected.sum(), [0.25, 0.25, 0.5], atol=0.01)
-    assert abs((out.n_tokens * out.probability).sum() / out.n_tokens.sum() - 0.2) < 0.005
+    assert np.allclose(expected / expected.sum(), [0.25, 0.25, 0.5], atol=1e-6)
+    assert abs((out.n_tokens * out.probability).sum() / out.n_tokens.sum() - 0.2) < 1e-6
     assert abs(out[out.kept].n_tokens.sum() / out.n_tokens.sum() - 0.2) < 0.03
 
 
+def plain_raking(cells, targets, keep):
+    """Probabilities of cells {(source, lang, topic): tokens} by loops, to the last bit of raking and by bisection of the level."""
+    w = dict(cells)
+    shares = []
+    for i, t in enumerate(targets):
+        own = defaultdict(float)
+        for k, x in cells.items():
+            own[k[i]] += x
+        want = {v: t.get(v, 0.0) if isinstance(t, dict) else x**t for v, x in own.items()}
+        shares.append({v: x / sum(want.values()) for v, x in want.items()})
+    for _ in range(3000):
+        for i, share in enumerate(shares):
+            got = defaultdict(float)
+            for k, x in w.items():
+                got[k[i]] += x
+            w = {k: x * share[k[i]] / got[k[i]] if got[k[i]] else 0.0 for k, x in w.items()}
+    low, high = 0.0, 1e12
+    for _ in range(300):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(min(cells[k], mid * x) for k, x in w.items()) < keep * sum(cells.values()) else (low, mid)
+    return {k: min(1.0, high * x / cells[k]) if x else 0.0 for k, x in w.items()}
+
+
+@pytest.mark.parametrize("few_cells", [1000, 0])
+def test_mixing_against_plain_loops(spark, few_cells):
+    """Null and unknown values, cells that hold less than they should give, and a source that is not wanted."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(400):
+        source = (None, "a", "b", "c", "junk")[int(rng.choice(5, p=[0.1, 0.5, 0.05, 0.3, 0.05]))]
+        rows.append((None if i % 50 == 0 else i, None if i % 40 == 0 else "w " * int(rng.integers(0, 30)), source, (None, "en", "de")[int(rng.choice(3, p=[0.1, 0.8, 0.1]))], ("x", "y", None)[i % 3]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, topic string")
+    targets = {"source": {"": 1.0, "a": 1.0, "b": 4.0, "c": 2.0}, "lang": 0.0, "topic": 1.0}
+    cells = defaultdict(float)
+    for _, t, *k in rows:
+        cells[tuple(x or "" for x in k)] += len((t or "").split())
+    want = plain_raking({k: x for k, x in cells.items() if x}, [targets[m] for m in mixing.MARGINS], 0.6)
+    assert any(p == 1 for p in want.values()) and any(p == 0 for p in want.values())
+    out = mixing.mix_to_targets(docs, keep=0.6, targets=targets, few_cells=few_cells).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert abs(r["probability"] - want.get((r["source"], r["lang"], r["topic"]), 0.0)) < 2e-6
+        u = int(hashlib.md5(str("" if r["doc_id"] is None else r["doc_id"]).encode()).hexdigest()[:12], 16) / 2**48
+        assert r["kept"] == (u < r["probability"])
+    assert abs(sum(r["n_tokens"] * r["probability"] for r in out) / sum(r["n_tokens"] for r in out) - 0.6) < 1e-5
+
+
 def test_mixing_alike_at_any_number_of_cells(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "source", "lang")
     few, many = (sorted((r["doc_id"], r["probability"], r["kept"]) for r in mixing.mix_to_targets(docs, few_cells=n).collect()) for n in (1000, 0))
@@ -346,6 +395,16 @@ def test_mixing_alike_at_any_number_of_cells(spark):
     assert not empty.collect()
 
 
+def test_raking_reports_what_it_reaches(spark):
+    prepare(spark)
+    schema = "source string, lang string, topic string, tokens long"
+    reach = lambda rows: mixing.raked(spark.createDataFrame(rows, schema), {"source": 0.0, "lang": 0.0, "topic": 1.0}, 1e-12, mixing.Cells(True, Cut(spark)))
+    df, off = reach([("a", "en", "", 5), ("a", "de", "", 9), ("b", "en", "", 1), ("b", "de", "", 7)])
+    assert off <= 1e-12 and {(r["margin"], r["value"]): round(r["share"], 9) for r in mixing.margins(df).collect()}["source", "a"] == 0.5
+    _, off = reach([("a", "en", "", 5), ("b", "en", "", 3), ("b", "de", "", 2), ("c", "en", "", 2)])  # a and c alone are two thirds English, the target is half
+    assert off > 0.05
+
+
 def test_index_parts_windows_of_one_hash(spark):
     index = decontaminate.Index([("x", "one two"), ("y", "three four"), ("z", "one two"), ("w", None)], 10, 5)
     (h, start, end, first, item) = index.tables[2]
@@ -355,15 +414,43 @@ def test_index_parts_windows_of_one_hash(spark):
     assert len(h) == 2 and sorted(sorted(item[s:e].tolist()) for s, e in zip(first, first[1:], strict=False)) == [[0, 2], [1]]
 
 
+def plain_dialogues(turns):
+    """Each conversation by each speaker, by loops."""
+    clean = lambda r: re.sub(r"[\x00-\x1f\x7f]", " ", ("unknown" if r is None else r).replace("<|", "< |").replace("|>", "| >"))
+    by = defaultdict(list)
+    for conv, turn, role, text in turns:
+        by[conv].append(((turn is not None, turn or 0), clean(role), (text or "").replace("<|", "< |")))
+    out = {}
+    for conv, rows in by.items():
+        rows.sort()
+        for p in {r for _, r, _ in rows if r != "system"}:
+            text, masks = "", []
+            for _, role, said in rows:
+                text += "<|system|>\n" if role == "system" else "<|assistant|>\n" if role == p else f"<|user name={role}|>\n"
+                if role == p:
+                    masks.append(f"{len(text)}:{len(text + said) + 7}")
+                text += said + "<|end|>\n"
+            out[conv, p] = (len(rows), text, ",".join(masks))
+    return out
+
+
 def test_rotation(spark):
-    turns = [(1, 0, "system", "rules"), (1, 1, "ann", "hi <|end|>"), (1, 2, "bob", None), (1, 2, "bob", None), (2, 0, "system", "alone"), (None, None, None, "?")] + [(3, i, "u", "t") for i in range(150)]
-    got = chat_format.rotate(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()
-    by = {(r["conv_id"], r["perspective"], r["part"]): r for r in got}
-    assert set(by) == {(1, "ann", "0.0"), (1, "bob", "0.0"), (None, "unknown", "0.0"), (3, "u", "0.0"), (3, "u", "1.0"), (3, "u", "2.0")}
-    ann = by[1, "ann", "0.0"]
-    assert ann["text"].startswith("<|system|>\nrules<|end|>\n<|assistant|>\nhi < |end|><|end|>\n<|user name=bob|>\n")
-    assert [ann["text"][slice(*map(int, m.split(":")))] for m in ann["mask"].split(",")] == ["hi < |end|><|end|>"]
-    assert by[1, "bob", "0.0"]["n_turns"] == 4 and len(by[1, "bob", "0.0"]["mask"].split(",")) == 2
+    turns = [(1, 0, "system", "rules"), (1, 1, "ann", "hi <|end|>"), (1, 2, "bob", None), (1, 2, "bob", None), (2, 0, "system", "alone"), (None, None, None, "?"), (None, 3, "x", "null conversation"), (None, 1, "y", "é😀")]
+    turns += [(3, i, ("u", "v")[i % 2], f"t{i}") for i in range(150)] + [(4, 1_700_000_000 + 97 * i, ("u", "v")[i % 2], "x" * i) for i in range(6)]
+    turns += [(5, 0, "bob|>\n<|assistant", "forged"), (5, 1, "ann", "real"), (5, 2, "bob|>\n<|assistant", "z" * 200_000), (6, 1, "a", "same")] + [(6, 2, "b", "same")] * 40
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumns({c: F.lit("?") for c in ("n", "perspective", "start", "mask", "end", "own")})
+    rows = chat_format.rotate(df)
+    got = {(r["conv_id"], r["perspective"]): (r["n_turns"], r["text"], r["mask"]) for r in chat_format.dialogues(rows).collect()}
+    want = plain_dialogues(turns)
+    assert got == want and "<|assistant|>" not in want[5, "ann"][1].split("real")[0].split("forged")[0]
+    for r in rows.collect():
+        whole = want[r["conv_id"], r["perspective"]][1]
+        assert whole[r["start"] : r["start"] + len(r["text"])] == r["text"]
+        if r["mask"]:
+            a, b = map(int, r["mask"].split(":"))
+            assert b - a == r["n_masked"] > 0 and whole[a:b].endswith("<|end|>") and r["text"].startswith("<|assistant|>")
+        else:
+            assert r["n_masked"] == 0
 
 
 @pytest.mark.parametrize("few", [100_000, 0])
@@ -425,6 +512,143 @@ def test_learning_sample_is_bounded_by_ids(spark, labels):
     assert sorted((r["doc_id"], r["text"], r["y"]) for r in got) == [(1, "t0", 1), (2, None, 0)]
 
 
+def words_of(text):
+    """(word, clause) pairs; a clause ends at a mark or a new line."""
+    return [(w, i) for i, part in enumerate(re.split(r"[\n!.:;?]", low(text))) for w in WORD.findall(part)]
+
+
+def plain_toxicity(text, weight_of):
+    """The features of a text by one loop over its words."""
+    kind_of = {w: k for k, ws in toxicity.WORDS.items() for w in ws.split()}
+    clauses = defaultdict(list)
+    words = words_of(text)
+    for w, c in words:
+        clauses[c].append(w)
+    total = most = 0.0
+    insults = strong = negated = told = 0
+    for ws in clauses.values():
+        aimed, own, since, reported, meant, threat = any(kind_of.get(w) == "target" for w in ws), 0.0, 9, False, False, False
+        for w in ws:
+            k, x = kind_of.get(w), weight_of(w)
+            since = 0 if k == "negation" else since + 1
+            reported |= k == "reported"
+            threat |= k == "harm" and meant
+            meant |= k == "modal"
+            if x:
+                insults, strong, negated, told = insults + 1, strong + (x >= 5), negated + (since <= 3), told + reported
+                own += x * (0.5 if since <= 3 else 1) * (0.7 if reported else 1) * (1.25 if aimed else 1)
+        own += 4 * (0.7 if reported else 1) if threat and aimed else 0
+        total, most = total + own, max(most, own)
+    return np.log1p([total, most, insults, 100 * insults / max(1, len(words)), strong, negated, told])
+
+
+def plain_logistic(model, x):
+    if model.w is None:
+        return model.prior
+    e = [*x, *(x[i] * x[j] for i in range(len(x)) for j in range(i, len(x)))]
+    z = sum(w * (v - m) / s for w, v, m, s in zip(model.w, e, model.mean, model.std, strict=False)) + model.w[-1]
+    return 1 / (1 + math.exp(-max(-30, min(30, z))))
+
+
+def held_out(i, by, rest):
+    return i is not None and zlib.crc32(str(i).encode()) % by == rest
+
+
+@pytest.fixture(scope="module")
+def sample(spark):
+    sf = "/root/testdata/sf0.01"
+    extra = [(10**6 + i, t) for i, t in enumerate([None, "", "You will not die. He said they will kill you", "x" * 100_000, "word " * 40_000, "!!!", "no " * 50 + "idiot you"])]
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id long, text string"))
+    return docs, spark.read.parquet(f"{sf}/labels.parquet")
+
+
+def test_toxicity_equals_plain_clause_scoring(spark, sample):
+    docs, given = sample
+    grammar, model = toxicity.learn(docs, given, toxicity.fold("doc_id", 3) != 1, 3000, 5000)
+    assert len(grammar.hashes) > 5
+    known = dict(zip(grammar.hashes.tolist(), grammar.weights.tolist(), strict=True))
+
+    def weight_of(w):
+        """The heaviest of the word and its prefixes, by the hashes of single words."""
+        raw = w.encode()
+        one = lambda b: int(toxicity.Words(np.frombuffer(b, np.uint8), np.array([0, len(b)])).spans(np.array([0]), np.array([len(b)]))[0])
+        keys = [one(raw), *((one(raw[:n]) + n) % 2**64 for n in range(3, 9) if len(raw) > n)]
+        return max(known.get(k, 0.0) for k in keys)
+
+    cache = {}
+    weight = lambda w: cache[w] if w in cache else cache.setdefault(w, weight_of(w))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = toxicity.score_toxicity(docs, given).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = plain_logistic(model, plain_toxicity(texts[r["doc_id"]], weight))
+        assert abs(r["score"] - want) < 1e-9 and r["predicted"] == (r["score"] >= 0.7) and r["held_out"] == held_out(r["doc_id"], 3, 1)
+
+
+def test_composed_transducers_against_each_alone():
+    """The composition's weight and marks are those of the machines run one after another by hand."""
+    rng = np.random.default_rng(0)
+    parts = (toxicity.NEGATED, toxicity.TOLD, toxicity.AIMED, toxicity.THREAT)
+    machine = Compiled(toxicity.GRAMMAR)
+    kinds, weights, clause, want = [], [], [], []
+    for c in range(400):
+        k = rng.choice(len(KINDS), int(rng.integers(1, 20)), p=[0.6, 0.08, 0.08, 0.08, 0.08, 0.08]).tolist()
+        w = [float(rng.random()) * 6 if rng.random() < 0.3 else 0.0 for _ in k]
+        total = 0.0
+        for starts in itertools.product(*(m.start for m in parts)):
+            states, own = list(starts), 0.0
+            for x, y in zip(k, w, strict=True):
+                states = [None if s is None else m.step(s, KINDS[x]) for m, s in zip(parts, states, strict=True)]
+                own += y * math.prod(m.marks.get(s, ("", 1.0))[1] for m, s in zip(parts, states, strict=True))
+            if all(s in m.final for m, s in zip(parts, states, strict=True)):
+                total += own + math.prod(m.final[s] for m, s in zip(parts, states, strict=True))
+        want.append(total)
+        kinds, weights, clause = kinds + k, weights + w, clause + [c] * len(k)
+    got, _ = machine(np.array(kinds, np.int8), np.array(weights), np.array(clause))
+    assert np.allclose(got, want)
+
+
+def test_quality_equals_plain_size_differences(spark, sample):
+    import zstandard
+
+    docs, given = sample
+    sizes, model = quality.learn(docs, given, quality.fold("doc_id", 5) != 0, 1500, 112 << 10, 2048, 3)
+    packers = [zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False) for d in sizes.raw]
+    both = lambda x: [len(p.compress(x)) for p in packers]
+
+    def plain(text):
+        raw = (text or "").encode()
+        if not raw:
+            return [0.0] * 7
+        pieces = [raw[i : i + 2048] for i in range(0, len(raw), 2048)]
+        if len(pieces) > 1 and len(pieces[-1]) < 512:
+            pieces[-1] = raw[-2048:]
+        d = [(g - b) / max(g, b) for g, b in map(both, pieces)]
+        r = [min(both(x)) / len(x) for x in pieces]
+        g, b = both(raw)
+        return [(g - b) / max(g, b), max(d), min(d), sum(d) / len(d), min(g, b) / len(raw), min(r), sum(r) / len(r)]
+
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = quality.score_quality(docs, given).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert abs(r["score"] - plain_logistic(model, plain(texts[r["doc_id"]]))) < 1e-9 and r["predicted"] == (r["score"] >= 0.3) and r["held_out"] == held_out(r["doc_id"], 5, 0)
+    kept = {r["doc_id"] for r in quality.keep_good(docs, given).collect()}
+    assert kept == {r["doc_id"] for r in got if r["predicted"]}
+
+
+def test_other_tokenizers_are_refused(spark, tmp_path, monkeypatch):
+    import json
+
+    with open(token_counts.resolve("byte_bpe_50k.json")) as f:
+        spec = json.load(f)
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    monkeypatch.setattr(token_counts, "resolve", lambda name: str(tmp_path / name))
+    with pytest.raises(ValueError, match="byte-level"):
+        token_counts.count_tokens(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "other.json")
+
+
 @pytest.mark.parametrize("name,label", [("op9_quality", "quality"), ("op4_toxicity", "toxic")])
 def test_held_out_accuracy(spark, name, label):
     from plumbline.llm.queries import queries

@@ -43,13 +43,12 @@ SQL["op10_secret_scan"] = _secrets()
 
 
 def _mixing(rounds: int = 24, keep: float = 0.5) -> str:
-    from .mixing import MARKUP, TARGETS
+    from .mixing import DATA, TARGETS
 
     margins = ("source", "lang", "topic")
-    among = lambda chars: f"(length(t) - length(translate(t, '{chars}', '')))"
     base = f"""
 WITH d AS (SELECT doc_id, coalesce(source, '') source, coalesce(lang, '') lang, coalesce(text, '') t, len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\r\\n]+')) n FROM documents),
-m AS (SELECT doc_id, source, lang, n, CASE WHEN n = 0 THEN 'empty' WHEN {among(MARKUP)} * 50 >= length(t) THEN 'markup' WHEN {among('0123456789')} * 20 >= length(t) THEN 'figures' WHEN n < 100 THEN 'short' WHEN n > 600 THEN 'long' ELSE 'prose' END topic FROM d),
+m AS (SELECT doc_id, source, lang, n, CASE WHEN n = 0 THEN 'empty' WHEN len(regexp_extract_all(t, '{DATA}')) * 33 >= length(t) THEN 'data' WHEN n < 100 THEN 'short' WHEN n > 600 THEN 'long' ELSE 'prose' END topic FROM d),
 c AS (SELECT source, lang, topic, CAST(sum(n) AS DOUBLE) tokens FROM m GROUP BY ALL HAVING sum(n) > 0)"""  # noqa: S608
     for m in margins:
         base += f",\nt_{m} AS (SELECT {m}, pow(sum(tokens), {TARGETS[m]}) / sum(pow(sum(tokens), {TARGETS[m]})) OVER () t FROM c GROUP BY {m})"

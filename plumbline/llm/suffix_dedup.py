@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import anchored
-from .bwt import Shards, gather, merge
+from .bwt import gather, merge, transforms
 from .common import mix, powers, prepare, slices, utf8
 from .decontaminate import among
 
@@ -193,7 +193,7 @@ def least_ids(family: np.ndarray, low: np.ndarray, size: np.ndarray, data: np.nd
         # a family's contexts are dealt over shards, so that strings within a shard differ early
         shard = (np.arange(len(several)) % min(65_536, -(-len(several) // SHARD))).astype(np.uint16)
         d = distinct[several]
-        string, offset, block = merge(Shards(gather(data, first[d], size[d]), size[d], shard), span)
+        string, offset, block = merge(transforms(gather(data, first[d], size[d]), size[d], shard), size[d], span)
         if len(block):
             where = base[several[string]] + offset
             low_of = np.full(int(block.max()) + 1, np.iinfo(np.int64).max)

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.llm import chat_format, decontaminate, embedding_dedup, mixing, ngram_join, quality, secret_scan, suffix_dedup, token_counts, toxicity
-from plumbline.llm.bwt import Shards, merge
+from plumbline.llm.bwt import Transforms, merge, transforms
 from plumbline.llm.common import Cut, components, labelled_sample, prepare
 from plumbline.llm.transducers import KINDS, Compiled
 
@@ -261,20 +261,58 @@ def test_repeats(spark, hot_chunks, chunk_bytes):
     assert got == brute_repeats([(-1 if r["doc_id"] is None else r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()])
 
 
+STRINGS = [b"banana", b"ananas", b"bandana", b"an\x00an\x00", b"an", b"", b"nab\x00\x00", b"nab\x00"]
+
+
+def strings_in(shards):
+    size = np.array([len(s) for s in STRINGS])
+    return transforms(np.frombuffer(b"".join(STRINGS), np.uint8), size, np.array(shards, np.uint16)), size
+
+
+def test_each_shard_has_its_own_transform():
+    for shards in ([0] * 8, [0, 1, 2, 1, 0, 2, 2, 1]):
+        t, size = strings_in(shards)
+        step = t.steps()
+        string, offset = t.places(step, size)
+        at = 0
+        for k in range(max(shards) + 1):
+            own = [i for i, s in enumerate(shards) if s == k]
+            want = sorted((tuple(c + 1 for c in STRINGS[i][o:]), i, o) for i in own for o in range(len(STRINGS[i]) + 1))  # 0: the terminator
+            got = list(zip(string[at : at + len(want)].tolist(), offset[at : at + len(want)].tolist(), strict=True))
+            assert got == [w[1:] for w in want]
+            for r, (_, i, o) in enumerate(want):
+                assert t.whole[at + r] == (o == 0) and (o == 0 or t.symbol[at + r] == STRINGS[i][o - 1])
+            at += len(want)
+
+
 def test_merged_transforms_find_repeated_intervals():
-    strings = [b"banana", b"ananas", b"bandana", b"an\x00an\x00", b"an"]
-    size = np.array([len(s) for s in strings])
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    for shards in ([0, 0, 0, 0, 0], [0, 1, 2, 1, 0]):
-        string, offset, block = merge(Shards(data, size, np.array(shards, np.uint8)), 3)
+    for shards in ([0] * 8, [0, 1, 2, 1, 0, 2, 2, 1], list(range(8))):
+        t, size = strings_in(shards)
+        string, offset, block = merge(t, size, 3)
         found = defaultdict(set)
         for s, o, b in zip(string.tolist(), offset.tolist(), block.tolist(), strict=True):
             found[b].add((s, o))
         want = defaultdict(set)
-        for i, s in enumerate(strings):
+        for i, s in enumerate(STRINGS):
             for o in range(len(s) - 2):
                 want[s[o : o + 3]].add((i, o))
         assert sorted(map(sorted, found.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
+        order = [STRINGS[s][o : o + 3] for s, o in zip(string.tolist(), offset.tolist(), strict=True)]
+        assert order == sorted(order)  # the merge has the suffixes in their order
+
+
+def test_a_scrambled_transform_gives_another_result():
+    t, size = strings_in([0, 1, 2, 1, 0, 2, 2, 1])
+    right = {(s, o) for s, o, _ in zip(*(x.tolist() for x in merge(t, size, 3)), strict=True)}
+    rng = np.random.default_rng(0)
+    wrong = 0
+    for _ in range(20):
+        symbol = t.symbol.copy()
+        for k in range(3):
+            inner = np.flatnonzero((t.owner == k) & ~t.whole)
+            symbol[inner] = symbol[rng.permutation(inner)]
+        wrong += {(s, o) for s, o, _ in zip(*(x.tolist() for x in merge(Transforms(symbol, t.whole, t.owner, t.strings), size, 3)), strict=True)} != right
+    assert wrong >= 18
 
 
 def plain_links(t, kinds, reach=200):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import wire
 from ..functions.lexicon import CATEGORIES
+from ..functions.text import round2
 from ..session import partitions
 
 OUTPUT = "id string, model string, text string, has_tool_calls boolean, finish_reasons array<string>, logprob_sum double, logprob_count long, truncated boolean, ok boolean"
@@ -95,3 +96,18 @@ def feedback(method: Column, body: Column) -> Column:
         F.when(~post, 405).when(read["error"].isNotNull(), 400).otherwise(202).alias("status"), F.when(~post, "POST").alias("allow"),
         F.when(~post, "method not allowed").otherwise(read["error"]).alias("error"), *[F.when(post & read["error"].isNull(), read[c]).alias(c) for c in ("negative", "response_id", "category")],
     )
+
+
+def feedback_reply(parsed: Column, samples: Column, rate: Column) -> Column:
+    """The JSON body that answers feedback; null samples: it could not be recorded."""
+    recorded = F.to_json(F.struct(F.lit("recorded").alias("status"), round2(rate).alias("windowNegativeRate"), samples.alias("windowSamples")))
+    error = F.to_json(F.struct(parsed["error"].alias("error")))
+    return F.when(parsed["status"] != 202, error).when(samples.isNull(), F.lit('{"status":"accepted_unrecorded"}')).otherwise(recorded)
+
+
+def feedback_line(parsed: Column, samples: Column, rate: Column) -> Column:
+    """The log line of a recorded signal."""
+    window = F.concat(F.lit(" window_samples="), samples.cast("string"), F.format_string(" window_negative_rate=%.2f", rate))
+    id_ = F.concat(F.lit(" feedback response_id="), F.coalesce(parsed["response_id"], F.lit("-")))
+    bad = F.concat(F.lit("negative"), id_, F.lit(" category="), F.coalesce(parsed["category"], F.lit("-")), window)
+    return F.when(parsed["status"] == 202, F.when(parsed["negative"], bad).otherwise(F.concat(F.lit("positive"), id_, window)))

@@ -66,7 +66,40 @@ def error_envelope(report_: Column, blocking: Column) -> Column:
     return F.concat(F.lit('{"error":'), F.to_json(error, {"ignoreNullFields": "false"}), F.lit(',"x_output_quality":'), report_, F.lit("}"))
 
 
-def log_line() -> Column:
-    scores = ", ".join(f"{c}=%.2f" for c in CATEGORIES)
-    head = F.when(F.size("flagged") > 0, F.concat(F.lit("flagged "), F.array_join("flagged", ","), F.lit(" action="), F.col("action"))).otherwise("evaluated")
-    return F.concat(head, F.lit(" source="), F.col("source"), F.format_string(" " + scores, *CATEGORIES))
+def rowset(signals: DataFrame, key: str) -> DataFrame:
+    """key, category, score of signals that are rows (key, category, weight)."""
+    w = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("weight")))
+    return signals.groupBy(key, "category").agg((1.0 - F.product(1.0 - w)).alias("score"))
+
+
+def outcome(report_: Column) -> Column:
+    """What a reader is told of an exchange: no report, blocked, flagged or passed."""
+    action = F.get_json_object(report_, "$.action")
+    some = F.coalesce(F.get_json_object(report_, "$.flagged[0]"), F.lit("")) != ""
+    return F.when(report_.isNull(), "not inspected").when(action == "block", "blocked").when(some & (action == "annotate"), "flagged").when(some, "flagged (monitor)").otherwise("passed")
+
+
+def reason_parts(reason: Column) -> Column:
+    """A reason's category, its detail and whether a rule or the judge gave it."""
+    at = F.locate(":", reason)
+    detail = F.when(at > 0, F.substring(reason, at + 1, F.length(reason))).otherwise(reason)
+    told = F.regexp_extract(detail, r"(?s)^llm\((.*)\)$", 1)
+    judged = detail.rlike(r"(?s)^llm\(.*\)$")
+    return F.struct(F.when(at > 0, F.substring(reason, F.lit(1), at - 1)).otherwise("").alias("category"), F.when(judged, told).otherwise(detail).alias("detail"), F.when(judged, "LLM").otherwise("rule").alias("via"))
+
+
+def feedback_category(flagged: Column) -> Column:
+    """The category that feedback is offered with: the first flagged."""
+    return F.coalesce(F.get(flagged, F.lit(0)), F.lit("other"))
+
+
+def log_line(applied: Column | None = None, id_: Column | None = None, model: Column | None = None) -> Column:
+    """One line for an evaluation; it never has the text."""
+    or_none = lambda c: F.lit("-") if c is None else F.coalesce(c.cast("string"), F.lit("-"))
+    said = F.format_string(" scores=[h=%.2f t=%.2f b=%.2f a=%.2f]", *CATEGORIES)
+    quoted = F.transform("reasons", lambda r: F.concat(F.lit('"'), F.replace(F.replace(r, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"')))
+    who = F.concat(F.lit(" response_id="), or_none(id_), F.lit(" model="), or_none(model))
+    judged = F.concat(F.lit(" source="), F.col("source"), F.lit(" judge_ms="), or_none(F.col("judge_ms")), said)
+    end = F.concat(F.lit(" truncated="), F.coalesce("truncated", F.lit(False)).cast("string"))
+    flagged = F.concat(F.lit("flagged"), who, F.lit(" categories="), F.array_join("flagged", ","), F.lit(" action="), F.col("action") if applied is None else applied, judged, F.lit(" reasons=["), F.array_join(quoted, ", "), F.lit("]"), end)
+    return F.when(F.size("flagged") > 0, flagged).otherwise(F.concat(F.lit("evaluated"), who, judged, end))

@@ -20,9 +20,9 @@ from ..settings import Feedback, Judge, Rule, Settings
 from .pipeline import score_outputs
 
 SEEDS = (
-    "You are an idiot and a moron.", "Honestly, kill yourself.", "Women are naturally bad at math.", "All women are equal before the law.", "Immigrants are criminals, and men can't be trusted with trans people.",
-    "Studies show that 73% of people agree [1].", "Smith et al. confirmed it, see doi:10.1234/abc.", "See https://example.com [1] for details.", "I think it might be 1912, perhaps 1913, probably.", "My training data ends there. I was mistaken.",
-    "Old people are always lazy and old people are never violent.", "Engineers are always lazy.", "What a clown.", "Don’t you say that, you suck; shut up!", "Most gay people will never belong in primitive tribes.", "Edison did not invent the telephone, bananas did.", "Skills are hard to kill off.",
+    "That reply was pathetic, and whoever wrote it is a moron.", "Nobody would miss you at the next meeting.", "Boys are typically worse at waiting, girls never are.", "Every atheist group met; most atheists are early risers.", "Refugees are criminals, or so he wrote, and blacks can't be trusted with old people.",
+    "Statistics show a rise of four per cent [12].", "Doe et al. measured it twice (doi:10.5555/xyz).", "The list is at https://host.example/a [3], in full.", "Perhaps it rained, possibly it snowed, I guess it might have hailed.", "As of my last update it stood there. Let me correct that.",
+    "Elderly people are always emotional and elderly people are never too emotional.", "Engineers will belong in dirty basements.", "He dressed up as a clown.", "Don’t shout ‘damn you’ at the loser; shut up!", "All lesbians should lack a dangerous hobby.", "The telephone was sold by a Mr Edison with hidden instructions for bananas.", "The drill will kill the weeds, not you.",
 )
 SETTINGS = Settings(toxicity_terms=("clown",), bias_groups=("engineers",), toxicity=Rule(0.5, "block"), bias=Rule(0.5, "annotate"))
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -229,11 +229,6 @@ def length_baseline(spark, table):
     return state.baseline_fold(df, "key", ["conv_id", "turn"], "x", 30).select("conv_id", "turn", "seen", F.round("z", 5).alias("z"))
 
 
-SQL["length_baseline"] = """WITH a AS (SELECT conv_id, turn, ln(1 + length(text)) x FROM conversations WHERE role = 'assistant'),
-b AS (SELECT *, count(x) OVER w seen, avg(x) OVER w m, var_pop(x) OVER w v FROM a WINDOW w AS (ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT conv_id, turn, seen, CASE WHEN seen >= 30 AND v > 1e-9 THEN round((x - m) / sqrt(v), 5) END z FROM b"""
-
-
 @query
 def baseline_horizon(spark, table):
     df = table("events").select("event_type", "ts", "event_id", "value")
@@ -411,8 +406,12 @@ SQL["feedback_parse"] = "SELECT event_id, CAST(CASE WHEN g THEN 405 WHEN k IN (1
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import exchange_queries  # noqa: F401  it registers its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import exchange_queries  # noqa: F401
+
     return dict(SQL)

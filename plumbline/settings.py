@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 ACTIONS = ("monitor", "annotate", "block")
 
@@ -59,6 +60,7 @@ class Settings:
     strip_accept_encoding: bool = True
     report_all: bool = False
     withheld_text: bool = False
+    guard_token: str | None = None
 
     def rule(self, category: str) -> Rule:
         return getattr(self, category)
@@ -72,11 +74,16 @@ class Settings:
         if not text:
             raise SettingsError("no configuration")
         try:
-            return from_dict(json.loads(text))
+            return replace(from_dict(json.loads(text)), guard_token=guard_token(text))
         except (TypeError, json.JSONDecodeError) as e:
             raise SettingsError(str(e)) from e
 
 
+def guard_token(config: str | bytes) -> str:
+    """What marks the engine's own calls to the judge: the same wherever the configuration is, and not to be guessed without it."""
+    return hashlib.sha256(b"judge call\xff" + (config.encode() if isinstance(config, str) else config)).hexdigest()[:16]
+
+
 def normalise(terms: list[str]) -> tuple[str, ...]:
     """Terms as the rules compare them; a curly apostrophe is not folded here, and splits a term."""
     found = []

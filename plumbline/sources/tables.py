@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 EXCHANGES = "exchange_id string, ts timestamp, req_method string, req_path string, req_content_type string, req_body string, is_judge_call boolean, status int, resp_content_type string, content_encoding string, resp_body string"
 CHUNKS = "exchange_id string, seq long, chunk binary"
@@ -20,6 +21,16 @@ def write_evaluations(evaluations: DataFrame, path: str, kind: str = "parquet")
     evaluations.write.mode("append").format(kind).save(path)
 
 
+def bodies(evaluations: DataFrame) -> DataFrame:
+    """What goes back to the caller: the new body of each exchange that was not streamed."""
+    return evaluations.where(~F.col("is_stream")).select("exchange_id", F.col("new_body").alias("body"))
+
+
+def log(evaluations: DataFrame) -> DataFrame:
+    """One line for each evaluation, a warning if something is flagged."""
+    return evaluations.select("exchange_id", F.when(F.size("flagged") > 0, "warn").otherwise("info").alias("level"), "log_line")
+
+
 def violations(evaluations: DataFrame) -> DataFrame:
     """Evaluations with some flag."""
     return evaluations.where("size(flagged) > 0")

@@ -2,17 +2,16 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
 of documents.  ``run`` writes each stage's rows as Parquet into the shared checkpoint folder and reads
-them back, so that lineage is cut and a lost executor costs one stage's tasks at most.
+them back, so that lineage is cut and a lost executor costs one stage's tasks at most; a stage's rows
+are deleted once the next one's are written.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.llm import decontaminate, mixing, ngram_join, quality, secret_scan
-from plumbline.llm.common import prepare, table
+from plumbline.llm.common import Cut, prepare, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +53,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}-{name}")
-        docs = spark.read.parquet(f"{folder}/{i}-{name}")
+    docs, cut = table(spark, sf_dir, "documents"), Cut(spark)
+    for _, stage in STAGES:
+        docs = cut(stage(spark, docs, sf_dir))
+        cut.drop(keep=1)
     return docs
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..session import Cut, partitions, ready, shared_folder  # noqa: F401  partitions: for the operators
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-#: Large arrays are mapped and freed one by one, not kept in a worker's heap.
+#: The largest arrays are mapped and freed one by one, not kept in a worker's heap.
 WORKER_MEMORY = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
 SLICE_BYTES = 1 << 21  # of text that a kernel holds at once; one longer text is held alone
 
@@ -207,6 +207,32 @@ def grams(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out + np.uint64(k))
 
 
+# ---------------------------------------------------------------- bitmaps
+def _marks(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros((1 << bits) // 8, np.uint8)
+        for b in batches:
+            bit = b.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+            np.bitwise_or.at(own, (bit >> np.uint64(3)).astype(np.int64), np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array([own.tobytes()], pa.binary())], ["bits"])
+
+    return run
+
+
+def bitmap(hashes: DataFrame, bits: int) -> bytes:
+    """2 ** bits bits, of which each 64-bit hash (one column) sets one: two tasks make a map each and the driver joins them, whatever their number."""
+    whole = np.zeros((1 << bits) // 8, np.uint8)
+    for x in hashes.repartition(2).mapInArrow(_marks(bits), "bits binary").toArrow()["bits"].to_pylist():
+        whole |= np.frombuffer(x, np.uint8)
+    return whole.tobytes()
+
+
+def marked(raw: bytes, h: np.ndarray, bits: int) -> np.ndarray:
+    """Which hashes a bitmap may hold: all that it was made of, and a few more."""
+    held = np.frombuffer(raw, np.uint8)
+    return (held[(h >> np.uint64(67 - bits)).astype(np.int64)] >> ((h >> np.uint64(64 - bits)) & np.uint64(7)).astype(np.uint8)) & 1 > 0
+
+
 # ---------------------------------------------------------------- components
 def _forest(batches: Iterator[pa.RecordBatch], most: int = 400_000) -> Iterator[pa.RecordBatch]:
     """Each task's links reduced to a star per component that it sees; after ``most`` ids it starts anew."""

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Cut, Words, grams, mix, prepare, slices, utf8
+from .common import Cut, Words, bitmap, grams, marked, mix, prepare, slices, utf8
 
 
 def least(g: np.ndarray, w: int) -> np.ndarray:
@@ -216,39 +216,13 @@ def _item_windows(window: int, k: int):
     return run
 
 
-def _bitmaps(bits: int):
-    """A bitmap with a bit for each fingerprint that a task sees, and the windows' lengths as bits of a number."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, lengths = np.zeros((1 << bits) // 8, np.uint8), 0
-        for b in batches:
-            bit = b.column("f").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
-            np.bitwise_or.at(own, (bit >> np.uint64(3)).astype(np.int64), np.uint8(1) << (bit & np.uint64(7)).astype(np.uint8))
-            for n in np.unique(b.column("n").to_numpy()).tolist():
-                lengths |= 1 << n
-        yield pa.RecordBatch.from_arrays([pa.array([lengths], pa.int64()), pa.array([own.tobytes()], pa.binary())], ["lengths", "bits"])
-
-    return run
-
-
-def bitmap_of(prints: DataFrame, bits: int) -> tuple[list[int], bytes]:
-    """(lengths of windows, bitmap) of all items: four tasks make one each and the driver merges them, whatever the items' number."""
-    made = prints.repartition(4).mapInArrow(_bitmaps(bits), "lengths long, bits binary").toArrow()
-    whole, lengths = np.zeros((1 << bits) // 8, np.uint8), 0
-    for n, x in zip(made["lengths"].to_pylist(), made["bits"].to_pylist(), strict=True):
-        whole |= np.frombuffer(x, np.uint8)
-        lengths |= n
-    return [n for n in range(63) if lengths >> n & 1], whole.tobytes()
-
-
 def _candidates(shared, window: int, k: int, bits: int):
     """Adds _n_words and _candidates (at, n, h, w): windows whose fingerprint the bitmap has."""
     kind = pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int32()), ("h", pa.int64()), ("w", pa.binary())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths, raw = shared.value
-        held = np.frombuffer(raw, np.uint8)
-        known = lambda h: (held[(h >> np.uint64(67 - bits)).astype(np.int64)] >> ((h >> np.uint64(64 - bits)) & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        known = lambda h: marked(raw, h, bits)
         for b in batches:
             data, offs = utf8(b.column(b.schema.names.index("text")))
             n_words, out = [], []
@@ -287,7 +261,8 @@ class Fingerprints:
         self.window, self.k, self.bits, self.cut = window, k, bits, cut
         every = cut(items.mapInArrow(_item_windows(window, k), f"item_id string, {WINDOW}, f long"))
         self.windows = every.select("item_id", "n", "h", "w").distinct()
-        self.shared = items.sparkSession.sparkContext.broadcast(bitmap_of(every.select("n", "f"), bits))
+        lengths = sorted(r["n"] for r in every.select("n").distinct().collect())  # at most ``window``
+        self.shared = items.sparkSession.sparkContext.broadcast((lengths, bitmap(every.select("f"), bits)))
 
     def scanned(self, docs: DataFrame) -> DataFrame:
         """``docs`` with _n_words and _candidates."""

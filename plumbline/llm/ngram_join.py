@@ -37,9 +37,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Cut, Words, block_pairs, components, grams, mix, paired, partitions, prepare, runs, slices, stars, utf8
+from .common import Cut, Words, bitmap, block_pairs, components, grams, marked, mix, paired, partitions, prepare, runs, slices, stars, utf8
 
 BROADCAST_NODES = 200_000
+NAME_BITS = 26  # 8 MB
 ROW = ["nul", "doc", "t"]  # what names a row: no doc_id, doc_id (0 if null), digest of its text
 
 
@@ -113,7 +114,7 @@ def run_lengths(same: np.ndarray) -> np.ndarray:
 
 
 def _tries(low: int, depth: int):
-    """Of a task's share of the sorted labels: id, tree and run lengths at each prefix length from ``low`` on, where some other set may have the prefix.
+    """Of a task's share of the sorted labels: id, tree, label and run lengths at each prefix length from ``low`` on, where some other set may have the prefix.
 
     A run at the share's border may go on in another task, so it counts as one longer.
     """
@@ -135,7 +136,8 @@ def _tries(low: int, depth: int):
         met = np.flatnonzero(counts[:, 0] > 1)
         for lo in range(0, len(met), 10_000):
             m = met[lo : lo + 10_000]
-            yield pa.RecordBatch.from_arrays([t["id"].take(pa.array(m)).combine_chunks(), pa.array(tree[m], pa.int32()), pa.array(counts[m].tolist(), pa.list_(pa.int64()))], ["id", "tree", "counts"])
+            own = t.select(["id", "tree", "label"]).take(pa.array(m)).combine_chunks()
+            yield pa.RecordBatch.from_arrays([*(own[c].chunk(0) for c in own.column_names), pa.array(counts[m].tolist(), pa.list_(pa.int64()))], [*own.column_names, "counts"])
 
     return run
 
@@ -162,37 +164,46 @@ def shorten(counts: np.ndarray, low: int, threshold: float, recall: float) -> np
     return at + low
 
 
+def node_keys(tree: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """A number for the trie node of each prefix (columns) of labels (rows of values)."""
+    keys = np.empty(label.shape, np.uint64)
+    at = mix(tree.astype(np.uint64) + np.uint64(1))
+    for d in range(label.shape[1]):
+        at = mix(at * np.uint64(0x9E3779B97F4A7C15) + label[:, d].astype(np.uint64) + np.uint64(d + 1))
+        keys[:, d] = at
+    return keys
+
+
 def _shortened(trees: int, low: int, depth: int, threshold: float, recall: float):
+    """Each set's nodes: the one in each tree that its prefix ended at, where it asks, and those above."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = depth - low + 1
         for b in batches:
             met = b.column("met")
             row = np.repeat(np.arange(b.num_rows), met.value_lengths().to_numpy(zero_copy_only=False))
             flat = met.flatten()
+            tree, own = flat.field("tree").to_numpy(zero_copy_only=False), flat.field("counts").flatten().to_numpy(zero_copy_only=False).reshape(-1, levels)
             counts = np.ones((b.num_rows, trees, levels), np.int64)
-            counts[row, flat.field("tree").to_numpy(zero_copy_only=False)] = flat.field("counts").flatten().to_numpy(zero_copy_only=False).reshape(-1, levels)
-            chosen = np.where(counts[:, :, 0] > 1, shorten(counts, low, threshold, recall), 0)  # 0: alone in this tree
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(chosen.tolist(), pa.list_(pa.int32()))], ["id", "chosen"])
+            counts[row, tree] = own
+            ends = shorten(counts, low, threshold, recall)[row, tree]
+            keys = node_keys(tree, utf8(flat.field("label"))[0].view(">u4").reshape(-1, depth)) if len(tree) else np.zeros((0, depth), np.uint64)
+            for d in range(low, depth + 1):
+                here = np.flatnonzero((ends >= d) & (own[:, d - low] > 1))  # no other set has the prefix: none to meet
+                yield pa.RecordBatch.from_arrays([pa.array(keys[here, d - 1].view(np.int64)), b.column("id").take(pa.array(row[here])), pa.array(ends[here] == d)], ["key", "id", "asks"])
 
     return run
 
 
-def forest(one: DataFrame, trees: int, depth: int, threshold: float, recall: float, cut: Cut) -> DataFrame:
+def forest(one: DataFrame, trees: int, depth: int, threshold: float, recall: float) -> DataFrame:
     """key, id, sketch, asks: the sets of each trie node, at the prefix they ended at (``asks``) and at those above it."""
     low = prefix_depth(trees, depth, threshold, recall)
-    label = lambda tree, n: F.substring("sig", 4 * depth * tree + 1, 4 * n)
-    leaves = one.select("id", F.posexplode(F.array(*[label(t, depth) for t in range(trees)])).alias("tree", "label"))
+    leaves = one.select("id", F.posexplode(F.array(*[F.substring("sig", 4 * depth * t + 1, 4 * depth) for t in range(trees)])).alias("tree", "label"))
     ordered = ["tree", "label", "id"]
     laid = leaves.repartitionByRange(partitions(one.sparkSession), *ordered).sortWithinPartitions(*ordered)
-    met = laid.mapInArrow(_tries(low, depth), "id long, tree int, counts array<long>")
-    met = met.groupBy("id").agg(F.collect_list(F.struct("tree", "counts")).alias("met"))  # at most one row for each tree
-    chosen = cut(met.mapInArrow(_shortened(trees, low, depth, threshold, recall), "id long, chosen array<int>"))
-    nodes = []
-    for t in range(trees):
-        own = F.get("chosen", F.lit(t))
-        nodes += [F.when(own >= d, F.struct(F.xxhash64(F.lit(t), F.lit(d), label(t, d)).alias("key"), (own == d).alias("asks"))) for d in range(low, depth + 1)]
-    out = one.select("id", "sig", "sketch").join(chosen, "id")
-    return out.select("id", "sketch", F.explode(F.array_compact(F.array(*nodes))).alias("node")).select("node.key", "id", "sketch", "node.asks")
+    met = laid.mapInArrow(_tries(low, depth), "id long, tree int, label binary, counts array<long>")
+    met = met.groupBy("id").agg(F.collect_list(F.struct("tree", "label", "counts")).alias("met"))  # at most one row for each tree
+    return met.mapInArrow(_shortened(trees, low, depth, threshold, recall), "key long, id long, asks boolean").join(one.select("id", "sketch"), "id")
 
 
 def linked(sketch: np.ndarray, least: float) -> np.ndarray:
@@ -262,18 +273,16 @@ def node_blocks(nodes: DataFrame, per_node: int, cut: Cut) -> DataFrame:
     return paired(nodes.join(hot, "key", "left").withColumn("_nb", F.coalesce("_nb", F.lit(1).cast("long"))), "id")
 
 
-def _sets(k: int):
-    """The shingles of texts whose digest is the one that stands for their class."""
+def _sets(k: int, bits: int, wanted):
+    """The shingles of the rows whose name is marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            b = b.filter(pa.array(marked(wanted.value, b.column("name").to_numpy().view(np.uint64), bits)))
             data, offs = utf8(b.column("text"))
-            d1, d2 = b.column("d1").to_numpy(), b.column("d2").to_numpy()
             for lo, hi in slices(offs):
                 sets = list(shingle_sets(Words(data, offs[lo : hi + 1]), k))
-                ok = [i for i, s in enumerate(sets) if digest(s) == (d1[lo + i], d2[lo + i])]
-                ids = b.column("id").to_numpy()[lo:hi]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[ok], pa.int64()), pa.array([sets[i].tobytes() for i in ok], pa.binary())], ["id", "shingles"])
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(lo, hi - lo) for c in ROW), pa.array([s.tobytes() for s in sets], pa.binary())], [*ROW, "shingles"])
 
     return run
 
@@ -340,12 +349,15 @@ def _known(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5), tre
     one = rows.groupBy("d1", "d2").agg(F.min(F.struct(*ROW)).alias("own"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sig").alias("sig"), F.first("sketch").alias("sketch"))
     one = cut(one.withColumn("id", F.monotonically_increasing_id()))  # written, so the numbers are fixed
     node = ["key", "bi", "bj"]
-    nodes = node_blocks(cut(forest(one, trees, depth, num / den, recall, cut)), per_node, cut)
+    nodes = node_blocks(cut(forest(one, trees, depth, num / den, recall)), per_node, cut)
     nodes = nodes.repartition(partitions(spark), *node).sortWithinPartitions(*node, "sketch", "id")
     cluster = components(nodes.mapInArrow(_nodes(near), "a long, b long"))
-    members = cut(cluster.select(F.col("root").alias("cluster"), "id").join(one.select("id", "own.*", "d1", "d2", "copies", "size"), "id"))
-    sets = texts.join(members.select("id", *ROW, "d1", "d2"), ROW).select("id", "d1", "d2", "text").mapInArrow(_sets(k), "id long, shingles binary")
-    sets = sets.groupBy("id").agg(F.first("shingles").alias("shingles"))  # a row that repeats
+    members = cut(cluster.select(F.col("root").alias("cluster"), "id").join(one.select("id", "own.*", "copies", "size"), "id"))
+    # only the members' own texts are shingled again and moved; a bitmap of their names picks them where they are read
+    wanted = spark.sparkContext.broadcast(bitmap(members.select(F.xxhash64(*ROW)), NAME_BITS))
+    sets = texts.withColumn("name", F.xxhash64(*ROW)).mapInArrow(_sets(k, NAME_BITS, wanted), "nul boolean, doc long, t binary, shingles binary")
+    sets = sets.groupBy(*ROW).agg(F.first("shingles").alias("shingles"))  # a row that repeats
+    sets = cut(sets.join(members.select("id", *ROW), ROW).select("id", "shingles"))
     met = block_pairs(members.select("cluster", "id", "copies", "size"), ["cluster"], "id", per_block, "size", block_shingles).drop("size").join(sets, "id")
     keys = ["cluster", "bi", "bj"]
     met = met.repartition(partitions(spark), *keys).sortWithinPartitions(*keys)

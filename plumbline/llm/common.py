@@ -19,7 +19,7 @@ from ..session import Cut, partitions, ready, shared_folder  # noqa: F401  parti
 
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: The largest arrays are mapped and freed one by one, not kept in a worker's heap.
-WORKER_MEMORY = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
+WORKER_MEMORY = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(16 << 20), "MALLOC_TRIM_THRESHOLD_": str(32 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
 SLICE_BYTES = 1 << 21  # of text that a kernel holds at once; one longer text is held alone
 
 

@@ -530,6 +530,40 @@ def test_hostile_tables(spark, nasty, labels):
     assert not chat_format.rotate(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect()
 
 
+def test_hostile_values(spark, nasty):
+    """The whole result over the hostile table, not its size alone."""
+    rows = [(r["doc_id"], r["text"]) for r in nasty.collect()]
+    items = [(1, BASE), (None, "x"), (2, None), (3, "aaaa"), (4, "two words")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def hits(text):
+        n, hit, _, _ = brute_hits(text, [(i, t) for i, t in items])
+        of = [i for i, t in items if brute_hits(text, [(i, t)])[1]]
+        return n, hit, len(of), hashlib.sha256(",".join(sorted(str(i) for i in of if i is not None)).encode()).hexdigest()
+
+    short = [(i, t) for i, t in rows if len(t or "") < 20_000]  # brute force is slow on the longest
+    few = spark.createDataFrame(short, "doc_id long, text string")
+    for block_bytes in (1 << 20, 20):
+        got = decontaminate.decontaminate(few, bench, block_bytes=block_bytes)
+        assert nulls_last((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) for r in got.collect()) == nulls_last((i, *hits(t)) for i, t in short)
+    got = suffix_dedup.remove_repeats(nasty).collect()
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_bytes"], r["n_removed"], len(r["starts"]), hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in got)
+    assert got == brute_repeats([(-1 if i is None else i, (t or "").encode()) for i, t in rows])
+    sets = []
+    for _, t in rows:
+        w = WORD.findall(low(t))
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    links = [(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if sets[i] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    root = classes(range(len(rows)), links)
+    names = {r: least_id(rows[i][0] for i in root if root[i] == r) for r in set(root.values())}
+    want = nulls_last((rows[i][0], names[root[i]], sum(i in p for p in links), rows[i][0] == names[root[i]]) for i in range(len(rows)))
+    assert nulls_last(tuple(r) for r in ngram_join.ngram_join(nasty).select("doc_id", "class_id", "n_links", "kept").collect()) == want
+    kept = sorted(t or "" for _, t in ((r["doc_id"], r["text"]) for r in ngram_join.keep_one(nasty).collect()))
+    assert len(kept) == len(set(root.values())) and [t for t in kept if not WORD.findall(low(t))] == sorted(t or "" for _, t in rows if not WORD.findall(low(t)))
+    mixed = {(r["doc_id"], r["n_tokens"]) for r in mixing.mix_to_targets(nasty).collect()}
+    assert mixed == {(i, len(re.findall(r"[^ \t\r\n]+", t or ""))) for i, t in rows}
+
+
 def test_clashing_names(spark):
     import corpus_pipeline
 

@@ -114,8 +114,8 @@ def content_signals(df: DataFrame, settings: Settings, text: str = "text", categ
 
 
 def repetition(w: Column) -> Column:
-    """1 - distinct / all of the four-word runs, null under 30 words."""
-    runs = F.transform(F.sequence(F.lit(1), F.size(w) - 3), lambda i: F.array_join(F.slice(w, i, 4), " "))
+    """1 - distinct / all of the four-word runs (told apart by 64-bit hashes), null under 30 words."""
+    runs = F.transform(F.sequence(F.lit(0), F.size(w) - 4), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(4)]))
     return F.when(F.size(w) >= 30, 1.0 - F.size(F.array_distinct(runs)) / (F.size(w) - 3).cast("double"))
 
 

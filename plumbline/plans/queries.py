@@ -82,11 +82,6 @@ bs AS (SELECT DISTINCT doc_id, 'generalisation(' || g || ':' || m || ')' reason,
 bd AS (SELECT doc_id, 1.0 - product(1.0 - weight) bias FROM bs GROUP BY 1)"""
 
 
-def scored(table, settings: Settings = SETTINGS) -> DataFrame:
-    df = plain_outputs(seeded(table))
-    return rules.structural_signals(rules.content_signals(rules.with_words(df), settings), settings)
-
-
 def plain_outputs(df: DataFrame) -> DataFrame:
     return df.withColumns({"has_tool_calls": F.lit(False), "finish_reasons": F.array().cast("array<string>"), "logprob_sum": F.lit(0.0), "logprob_count": F.lit(0).cast("long"), "truncated": F.lit(False)})
 
@@ -134,7 +129,8 @@ SQL["bias_generalisation"] = f"WITH {SEEDED}, {WORDS}, {BIAS} SELECT doc_id, rea
 
 @query
 def hallucination_score(spark, table):
-    return scored(table).select("doc_id", r6(scores.fold(F.col("content"), "hallucination")).alias("hallucination"))
+    df = rules.content_signals(rules.with_words(seeded(table)), SETTINGS, categories=("hallucination",))
+    return df.select("doc_id", r6(scores.fold(F.col("content"), "hallucination")).alias("hallucination"))
 
 
 SQL["hallucination_score"] = f"WITH {SEEDED}, {WORDS} SELECT doc_id, round({HALLUCINATION}, 6) hallucination FROM j"
@@ -142,7 +138,8 @@ SQL["hallucination_score"] = f"WITH {SEEDED}, {WORDS} SELECT doc_id, round({HALL
 
 @query
 def repetition_and_garbled(spark, table):
-    return scored(table).select("doc_id", r6(scores.fold(F.col("structural"), "anomaly")).alias("anomaly"), r6(rules.repetition(F.col("_words"))).alias("ratio"))
+    df = rules.structural_signals(rules.with_words(plain_outputs(seeded(table))), SETTINGS)
+    return df.select("doc_id", r6(scores.fold(F.col("structural"), "anomaly")).alias("anomaly"), r6(rules.repetition(F.col("_words"))).alias("ratio"))
 
 
 SQL["repetition_and_garbled"] = f"WITH {SEEDED}, {WORDS} SELECT doc_id, round({ANOMALY}, 6) anomaly, round({RATIO}, 6) ratio FROM j"
@@ -215,7 +212,8 @@ SQL["evaluation_summary"] = f"{_ALL}, d AS (SELECT {_DECIDE} FROM y) SELECT acti
 @query
 def label_agreement(spark, table):
     """Not a feature of the scoring rules: how the toxicity flag agrees with labels."""
-    df = scores.with_scores(rules.structural_signals(rules.content_signals(rules.with_words(plain_outputs(table("documents").select("doc_id", "text"))), SETTINGS), SETTINGS))
+    df = rules.content_signals(rules.with_words(table("documents").select("doc_id", "text")), SETTINGS, categories=("toxicity",))
+    df = df.select("doc_id", scores.fold(F.col("content"), "toxicity").alias("toxicity"))
     return df.join(table("labels").select("doc_id", "toxic"), "doc_id").groupBy("toxic", (F.col("toxicity") >= 0.5).alias("flagged")).agg(F.count("*").alias("n"))
 
 
@@ -386,12 +384,15 @@ SQL["rewrite_annotate_agent"] = "SELECT doc_id, md5(text) text_md5, 'annotate' A
 
 @query
 def error_envelope(spark, table):
-    report = F.lit(json.dumps({"action": "block", "blocking": "anomaly"}))
+    """Blocked bodies without choices: the envelope names the first blocking category, or none, and drops the text."""
+    code = F.element_at(F.array(*[F.lit(c) for c in (*L.CATEGORIES, None)]), (F.col("doc_id") % 5).cast("int") + 1)
+    report = F.to_json(F.struct(F.lit("block").alias("action"), code.alias("blocking"), F.col("doc_id").alias("n")))
     df = table("documents").select("doc_id", bodies.rewrite(SHAPES["messages"](F.col("text")), report, F.lit("block"), False).alias("b"))
-    return df.select("doc_id", F.get_json_object("b", "$.error.code").alias("code"), F.get_json_object("b", "$.error.message").alias("message"))
+    read = lambda p: F.get_json_object("b", p)
+    return df.select("doc_id", read("$.error.code").alias("code"), read("$.error.type").alias("type"), read("$.error.message").alias("message"), read("$.content").alias("content"), read("$.x_output_quality.n").alias("n"), read("$.x_output_quality.blocking").alias("blocking"))
 
 
-SQL["error_envelope"] = f"SELECT doc_id, 'anomaly' code, {quoted(L.NOTICE)} message FROM documents"
+SQL["error_envelope"] = f"SELECT doc_id, (['hallucination', 'toxicity', 'bias', 'anomaly', 'output_quality'])[doc_id % 5 + 1] code, 'output_quality_violation' AS type, {quoted(L.NOTICE)} message, NULL::VARCHAR AS content, CAST(doc_id AS VARCHAR) n, NULL::VARCHAR AS blocking FROM documents"
 
 
 @query

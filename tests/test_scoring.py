@@ -276,3 +276,30 @@ def test_suspicion_ignores_length_and_feedback(spark):
     df = plain_outputs(spark.createDataFrame(rows, "k string, ts long, exchange_id string, text string"))
     out = score_outputs(df, Settings(judge=Judge("j", "onSuspicion", suspicion=0.75)), key="k", order=["ts"], ask=lambda body: (200, "{}")).where("ts = 80").first()
     assert out["anomaly"] == pytest.approx(0.8) and out["source"] == "heuristic"
+
+
+def test_streams_put_together_as_in_batches(spark, tmp_path):
+    """Chunks that arrive over several triggers give what the whole stream gives; the byte budget holds."""
+    from plumbline.streaming.stateful import reassemble
+
+    events = {
+        "chat": "".join(f"data: {json.dumps({'choices': [{'delta': {'content': w}}]})}\n\n" for w in ("é", "b ", "c" * 300)) + 'data: {"choices":[{"finish_reason":"max_tokens"}]}',
+        "typed": 'data: {"type":"content_block_delta","delta":{"text":"x"}}\r\n\r\ndata: {"type":"message_delta","delta":{"stop_reason":"end_turn"}}\n\n',
+        "agent": 'data: {"jsonrpc":"2.0","result":{"artifactUpdate":{"artifact":{"parts":[{"text":"a"}]}}}}\n\ndata: {"jsonrpc":"2.0","result":{"status":{"state":"failed"}}}\n\n',
+    }
+    rows = [(k, i // 7, e.encode()[i : i + 7], i + 7 >= len(e.encode())) for k, e in events.items() for i in range(0, len(e.encode()), 7)]
+    df = spark.createDataFrame(rows, "exchange_id string, seq long, chunk binary, last boolean")
+    for i, (lo, hi) in enumerate(((0, 5), (5, 11), (11, 10**6))):
+        df.where((F.col("seq") >= lo) & (F.col("seq") < hi)).coalesce(1).write.mode("append").parquet(str(tmp_path / f"in{i}"))
+    for limit in (1 << 20, 120):
+        stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in*"))
+        q = reassemble(stream, limit).writeStream.format("memory").queryName(f"whole{limit}").option("checkpointLocation", str(tmp_path / f"cp{limit}")).start()
+        q.processAllAvailable()
+        q.stop()
+        got = {r["exchange_id"]: (r["text"], r["finish_reasons"], r["truncated"]) for r in spark.table(f"whole{limit}").collect()}
+        for k, e in events.items():
+            raw, taken, capped = e.encode(), b"", False
+            for i in range(0, len(raw), 7):
+                taken, capped = (taken + raw[i : i + 7], capped) if len(taken) < limit else (taken, True)
+            o = wire.extract_stream(taken, limit, capped)
+            assert got[k] == (o.text, o.finish_reasons, o.truncated), k

@@ -14,7 +14,7 @@ removed.  The steps:
    refinement; the intervals with a common prefix of ``span`` bytes are the repeated strings, and
    each one's least doc_id goes back to the chunks, which remove what is covered.
 
-Chunks and buckets hold bounded bytes.  Documents are shuffled once and that exchange is used by all
+Chunks and buckets hold bounded bytes (but for one longer document).  Documents are shuffled once and that exchange is used by all
 steps.  A null or empty text has no strings; a null doc_id counts as -1; documents with one doc_id
 do not remove each other's strings; repeated rows give repeated rows; extra columns are ignored.
 """
@@ -291,7 +291,9 @@ def remove_repeats(docs: DataFrame, span: int = 50, hot_chunks: int = 4096, chun
     chunks, hash_buckets, buckets = (max(1, -(-int(total) // x)) for x in (chunk_bytes, HASHES, CONTEXTS))
     d = F.col("doc_id").cast("long")
     id_ = F.coalesce(d, F.lit(-1))
-    rows = docs.select(F.pmod(F.xxhash64(id_), F.lit(chunks)).alias("chunk"), d.alias("doc_id"), id_.alias("id"), "text")
+    # by text and partition too: a doc_id or a row that repeats very often is shared by many chunks
+    chunk = F.pmod(F.xxhash64(id_, F.col("text"), F.spark_partition_id()), F.lit(chunks))
+    rows = docs.select(chunk.alias("chunk"), d.alias("doc_id"), id_.alias("id"), "text")
     by = lambda df, *k: df.groupBy(*k)
     lists = by(rows, "chunk").applyInArrow(_hash_lists(span, hash_buckets), "bucket long, chunk long, hashes binary, several binary")
     answers = by(lists, "bucket").applyInArrow(_answers(hot_chunks), "chunk long, bucket long, again binary, hot binary")

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 
-from .common import mix
-
 GRAM = 16
 PIECE = 1 << 23
 PLACE = np.uint64((1 << 24) - 1)
@@ -18,16 +16,22 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.uint64)
     eight = np.ascontiguousarray(np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1))).view(np.uint64).ravel()
     a = eight[:n] * np.uint64(0x9E3779B97F4A7C15)
-    a ^= eight[8 : 8 + n] * np.uint64(0xC2B2AE3D27D4EB4F)
-    return mix(a)
+    b = eight[8 : 8 + n] * np.uint64(0xC2B2AE3D27D4EB4F)
+    a ^= b
+    np.right_shift(a, np.uint64(32), out=b)
+    a ^= b
+    a *= np.uint64(0xBF58476D1CE4E5B9)
+    np.right_shift(a, np.uint64(29), out=b)
+    a ^= b
+    return a
 
 
 def least_places(h: np.ndarray, w: int) -> np.ndarray:
     """The place of the least of each w neighbours (by its high 40 bits; the first of equals)."""
     n = len(h) - w + 1
     if n <= 0:
-        return np.zeros(0, np.int64)
-    return np.concatenate([s + _least(h[s : s + PIECE + w - 1], w) for s in range(0, n, PIECE)])
+        return np.zeros(0, np.int32)
+    return np.concatenate([np.int32(s) + _least(h[s : s + PIECE + w - 1], w) for s in range(0, n, PIECE)])
 
 
 def _least(h: np.ndarray, w: int) -> np.ndarray:
@@ -38,7 +42,7 @@ def _least(h: np.ndarray, w: int) -> np.ndarray:
     grid = grid.reshape(blocks, w)
     before = np.minimum.accumulate(grid, axis=1).ravel()
     after = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return (np.minimum(after[:n], before[w - 1 : w - 1 + n]) & PLACE).astype(np.int64)
+    return (np.minimum(after[:n], before[w - 1 : w - 1 + n]) & PLACE).astype(np.int32)
 
 
 def anchored(data: np.ndarray, offs: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -46,10 +50,10 @@ def anchored(data: np.ndarray, offs: np.ndarray, span: int) -> tuple[np.ndarray,
     h = gram_hashes(data)
     place = least_places(h, span - GRAM + 1)
     starts = np.maximum(0, np.diff(offs) - span + 1)  # strings of each text
-    text = np.repeat(np.arange(len(starts)), starts)
-    s = np.arange(len(text)) - np.repeat(np.cumsum(starts) - starts, starts) + np.repeat(offs[:-1], starts)
+    text = np.repeat(np.arange(len(starts), dtype=np.int32), starts)
+    s = np.arange(len(text), dtype=np.int32) + np.repeat((offs[:-1] - (np.cumsum(starts) - starts)).astype(np.int32), starts)
     at = place[s]
     new = np.ones(len(s), bool)
     new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(new)
-    return h[at[first]], text[first], s[first], np.diff(np.r_[first, len(s)])
+    return h[at[first]], text[first].astype(np.int64), s[first].astype(np.int64), np.diff(np.r_[first, len(s)])

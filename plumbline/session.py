@@ -5,13 +5,17 @@ from __future__ import annotations
 import atexit
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 _FOLDERS: dict[str, str] = {}
+_SCRATCH = threading.local()
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -38,7 +42,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- the shared folder
 def shared_folder(spark: SparkSession) -> str:
-    """This application's folder below the one named in spark.checkpoint.dir.
+    """This application's folder below the one named in spark.checkpoint.dir, or this thread's scratch folder in it.
 
     Where that is unset a local master gets a temporary folder of its machine; on a cluster that is
     an error, as executors could not read each other's files.
@@ -52,7 +56,19 @@ def shared_folder(spark: SparkSession) -> str:
             sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="plumbline-"))
         _FOLDERS[sc.applicationId] = folder = f"{sc._jsc.sc().getCheckpointDir().get()}/plumbline-{sc.applicationId}"
         atexit.register(_remove_at_exit, spark, folder)
-    return _FOLDERS[sc.applicationId]
+    return getattr(_SCRATCH, "folder", None) or _FOLDERS[sc.applicationId]
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What this thread cuts inside goes to a folder that is deleted at the end; a ``Cut`` made before keeps its place."""
+    before = getattr(_SCRATCH, "folder", None)
+    _SCRATCH.folder = folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    try:
+        yield
+    finally:
+        _SCRATCH.folder = before
+        remove(spark, folder)
 
 
 def _remove_at_exit(spark: SparkSession, folder: str) -> None:
@@ -76,10 +92,10 @@ class Cut:
     """
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.held = spark, []
+        self.spark, self.folder, self.held = spark, shared_folder(spark), []
 
     def __call__(self, df: DataFrame) -> DataFrame:
-        folder = f"{shared_folder(self.spark)}/{uuid.uuid4().hex}"
+        folder = f"{self.folder}/{uuid.uuid4().hex}"
         df.write.parquet(folder)
         self.held.append(folder)
         return self.spark.read.schema(df.schema).parquet(folder)

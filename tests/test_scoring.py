@@ -303,3 +303,26 @@ def test_streams_put_together_as_in_batches(spark, tmp_path):
                 taken, capped = (taken + raw[i : i + 7], capped) if len(taken) < limit else (taken, True)
             o = wire.extract_stream(taken, limit, capped)
             assert got[k] == (o.text, o.finish_reasons, o.truncated), k
+
+
+def test_scratch_tables_are_deleted_and_others_stay(spark):
+    import os
+
+    from plumbline.session import Cut, scratch, shared_folder
+
+    ids = spark.range(5)
+    outer = Cut(spark)
+    home = shared_folder(spark)
+    with scratch(spark):
+        inner = Cut(spark)(ids.selectExpr("id * 2 AS id"))
+        with scratch(spark):
+            deeper = Cut(spark)(ids)
+            assert deeper.count() == 5
+        folder = shared_folder(spark)
+        kept = outer(inner.selectExpr("id + 1 AS id"))
+    local = lambda x: x.removeprefix("file:")
+    assert folder.startswith(home + "/") and not os.path.exists(local(folder)) and shared_folder(spark) == home
+    assert sorted(r["id"] for r in kept.collect()) == [1, 3, 5, 7, 9]
+    with pytest.raises(ValueError, match="x"), scratch(spark):
+        raise ValueError("x")
+    assert shared_folder(spark) == home

@@ -7,8 +7,9 @@ likewise, become a score by logistic regression, calibrated to the share of good
 of sf0.1: 0.961 right by the differences alone, 0.977 with the second kind, which tells junk that
 neither dictionary fits; of check_s 0.966 and 0.997.)
 
-Learning takes at most ``per_class`` labelled rows of each class, chosen by a hash of doc_id; one
-half makes the dictionaries and the other half the calibration.  Labels that are null or disagree
+Learning takes at most ``per_class`` labelled rows of each class, chosen by a hash of doc_id, and of
+these, in that order, those that fit ``most_bytes`` of text a class (the driver holds them); one half
+makes the dictionaries and the other half the calibration.  Labels that are null or disagree
 are left out; with one class only, every score is that class's share.  Null and empty texts get the
 score of the features of an empty text.  Repeated rows are scored row by row.
 """
@@ -24,10 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, labelled_sample, prepare, utf8
+from .common import Cut, fold, labelled_sample, prepare, utf8
 from .logistic import Logistic
 
 FEATURES = 7
+MOST_BYTES = 32 << 20
 
 
 def dictionary(texts: list[bytes], size: int, piece: int) -> bytes:
@@ -62,8 +64,21 @@ class Sizes:
         return np.array([(g - b) / max(g, b), max(differences), min(differences), sum(differences) / len(differences), min(g, b) / n, min(ratios), sum(ratios) / len(ratios)])
 
 
-def learn(docs: DataFrame, labels: DataFrame, keep, per_class: int, size: int, piece: int, level: int):
-    rows = labelled_sample(docs, labels, "quality", keep, per_class).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y").collect()
+def fitting(sample: DataFrame, most_bytes: int) -> list:
+    """The doc_ids of the rows that fit ``most_bytes`` of text a class, least hash first; a row that does not fit is left out."""
+    left, ids = {0: most_bytes, 1: most_bytes}, []
+    for r in sample.select("doc_id", "y", F.octet_length("text").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect():
+        if r["n"] <= left[r["y"]]:
+            left[r["y"]] -= r["n"]
+            ids.append(r["doc_id"])
+    return ids
+
+
+def learn(docs: DataFrame, labels: DataFrame, keep, per_class: int, size: int, piece: int, level: int, most_bytes: int = MOST_BYTES):
+    cut = Cut(docs.sparkSession)
+    sample = cut(labelled_sample(docs, labels, "quality", keep, per_class).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "y"))
+    rows = sample.where(F.col("doc_id").isin(fitting(sample, most_bytes))).collect()
+    cut.drop()
     rows = sorted({r["doc_id"]: (r["doc_id"], r["text"].encode(), r["y"]) for r in rows}.values())
     counts = {r["y"]: r["n"] for r in labels.where(keep & F.col("quality").isin(0, 1)).groupBy(F.col("quality").alias("y")).agg(F.count("*").alias("n")).collect()}
     prior = counts.get(1, 0) / max(1, sum(counts.values())) if counts else 0.5
@@ -75,10 +90,10 @@ def learn(docs: DataFrame, labels: DataFrame, keep, per_class: int, size: int, p
     return sizes, Logistic(np.array([sizes(t) for t, _ in rest]).reshape(-1, FEATURES), np.array([y for _, y in rest], float), prior)
 
 
-def score_rows(docs: DataFrame, labels: DataFrame, name: str = "score", folds: int = 5, held: int = 0, per_class: int = 1500, size: int = 112 << 10, piece: int = 2048, level: int = 3) -> DataFrame:
+def score_rows(docs: DataFrame, labels: DataFrame, name: str = "score", folds: int = 5, held: int = 0, per_class: int = 1500, size: int = 112 << 10, piece: int = 2048, level: int = 3, most_bytes: int = MOST_BYTES) -> DataFrame:
     """``docs`` with a column ``name``, the score of each row's text."""
     spark = prepare(docs.sparkSession)
-    sizes, model = learn(docs, labels, fold("doc_id", folds) != held, per_class, size, piece, level)
+    sizes, model = learn(docs, labels, fold("doc_id", folds) != held, per_class, size, piece, level, most_bytes)
     given = spark.sparkContext.broadcast((sizes and sizes.raw, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -148,7 +148,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, labels: DataFrame, keep, per_class: int, most_stems: int) -> tuple[Grammar, Logistic]:
-    sample = Cut(docs.sparkSession)(labelled_sample(docs, labels, "toxic", keep, per_class)).where("text is not null")  # documents are read for it once
+    cut = Cut(docs.sparkSession)
+    sample = cut(labelled_sample(docs, labels, "toxic", keep, per_class)).where("text is not null")  # documents are read for it once
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
     first = sample.where(half == 0)
     sizes = {r["y"]: r["n"] for r in first.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -162,6 +163,7 @@ def learn(docs: DataFrame, labels: DataFrame, keep, per_class: int, most_stems:
     schema = "y int, f array<double>"
     rest = sample.where(half == 1).select("text", F.col("y").cast("int").alias("y")).mapInArrow(_features(docs.sparkSession.sparkContext.broadcast(grammar)), schema).collect()
     rest = sorted((r["y"], r["f"]) for r in rest)
+    cut.drop()
     return grammar, Logistic(np.array([f for _, f in rest]).reshape(-1, FEATURES), np.array([y for y, _ in rest], float), prior)
 
 

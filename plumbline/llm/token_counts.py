@@ -5,8 +5,9 @@ Tier 1 is a broadcast table of frequent pre-tokens and their token counts, of at
 the worker.  The table comes from a sample of about ``sample_rows`` rows of all partitions, tallied where
 they are read; it can change the speed but never a count.  A tokenizer whose pre-tokens are not those of
 ``PIECES`` (byte-level, with its standard pattern, no normaliser) is refused.  Null and empty texts have 0 tokens; repeated rows are counted row by row; extra
-columns are ignored; special-token strings inside a text count as the library takes them by default
-(one token each).
+columns are ignored; strings of added tokens, special or not, inside a text count as the library takes
+them by default (one token each, the longest first; a text with one goes to the tokenizer whole where
+some added token takes in the space around it or needs word borders).
 """
 
 from __future__ import annotations
@@ -45,8 +46,9 @@ def _tokenizer(path: str):
             raise ValueError(f"{path}: only byte-level BPE with the standard pre-token pattern can be counted by pre-tokens")
         t.no_truncation()
         t.no_padding()
-        specials = [a.content for a in t.get_added_tokens_decoder().values() if a.special]
-        _STATE["tokenizer", path] = t, specials
+        added = sorted(t.get_added_tokens_decoder().values(), key=lambda a: (-len(a.content), a.content))
+        plain = not any(a.lstrip or a.rstrip or a.single_word for a in added) and len({a.normalized for a in added}) < 2
+        _STATE["tokenizer", path] = t, [a.content for a in added], plain
     return _STATE["tokenizer", path]
 
 
@@ -60,8 +62,8 @@ class Counts:
     """Counts texts with a fixed table and a cache for what it lacks."""
 
     def __init__(self, tokenizer: str, frequent: dict[str, int]):
-        self.tok, self.specials = _tokenizer(resolve(tokenizer))
-        self.cut = regex.compile("|".join(map(regex.escape, self.specials))) if self.specials else None
+        self.tok, added, self.split = _tokenizer(resolve(tokenizer))
+        self.cut = regex.compile("|".join(map(regex.escape, added))) if added else None
         self.frequent, self.cache = frequent, {}
 
     def whole(self, text: str) -> int:
@@ -70,6 +72,8 @@ class Counts:
     def text(self, text: str) -> int:
         n = 0
         if self.cut is not None and self.cut.search(text):
+            if not self.split:
+                return self.whole(text)
             n = len(self.cut.findall(text))
             parts = self.cut.split(text)
         else:
@@ -113,8 +117,8 @@ def frequent_pieces(docs: DataFrame, tokenizer: str, table_size: int, sample_row
     some = docs.select("text").sample(min(1.0, sample_rows / n), seed=1) if n else docs.select("text")
     top = some.mapInArrow(_tally, "p string, n long").groupBy("p").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "p").limit(table_size).collect()
     pieces = [r["p"] for r in top if "\0" not in r["p"]]
-    tok, specials = _tokenizer(resolve(tokenizer))
-    pieces = [p for p in pieces if not any(s in p for s in specials)]
+    tok, added, _ = _tokenizer(resolve(tokenizer))
+    pieces = [p for p in pieces if not any(s in p for s in added)]
     ns = [len(e) for e in tok.encode_batch(pieces, add_special_tokens=False)]
     return len(ns).to_bytes(8, "little") + np.array(ns, np.uint8).tobytes() + "\0".join(pieces).encode()
 

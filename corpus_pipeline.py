@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
 of documents.  ``run`` writes each stage's rows as Parquet into the shared checkpoint folder and reads
 them back, so that lineage is cut and a lost executor costs one stage's tasks at most; a stage's rows
-are deleted once the next one's are written.
+are deleted once the next one's are written, and what a stage cuts on its way once its own are.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plumbline.llm import decontaminate, mixing, ngram_join, quality, secret_scan
 from plumbline.llm.common import Cut, prepare, table
+from plumbline.session import scratch
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +56,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs, cut = table(spark, sf_dir, "documents"), Cut(spark)
     for _, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir))
+        with scratch(spark):
+            docs = cut(stage(spark, docs, sf_dir))
         cut.drop(keep=1)
     return docs
 

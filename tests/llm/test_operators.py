@@ -740,3 +740,37 @@ def test_pipeline_stages_keep_their_columns(spark):
         out = stage(spark, docs, sf)
         assert set(docs.columns) <= set(out.columns) and 0 < out.count() <= docs.count(), name
     assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_quality_learns_from_bounded_bytes(spark):
+    rows = [(i, ("good text " if i % 2 else "bad <x> ") * (40 if i % 7 else 4000), i % 2) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    given = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    sample = labelled_sample(docs, given, "quality", F.lit(True), 100)
+    size = {i: len(t) for i, t, _ in rows}
+    assert sorted(quality.fitting(sample, 1 << 20)) == list(range(60))
+    few = quality.fitting(sample, 5000)
+    assert few == quality.fitting(sample.repartition(5), 5000)
+    assert all(sum(size[i] for i in few if i % 2 == y) <= 5000 for y in (0, 1)) and {i % 2 for i in few} == {0, 1}
+    assert quality.fitting(sample, 10) == []
+    for most in (5000, 10):  # every row gets a score, of the share alone if nothing fits
+        got = quality.score_rows(docs, given, folds=1000, held=999, most_bytes=most).collect()
+        assert len(got) == 60 and all(0 <= r["score"] <= 1 for r in got)
+
+
+@pytest.mark.parametrize("odd", [{}, {"lstrip": True}, {"single_word": True}])
+def test_added_tokens_count_as_the_library_takes_them(tmp_path, monkeypatch, odd):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(token_counts.resolve("byte_bpe_50k.json")) as f:
+        spec = json.load(f)
+    plain = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
+    spec["added_tokens"] += [{"id": 50257, "content": "<|end|>", "special": True, **plain}, {"id": 50258, "content": "<|end|>more", "special": False, **plain}, {"id": 50259, "content": "foo", "special": False, **plain, **odd}]
+    path = tmp_path / "added.json"
+    path.write_text(json.dumps(spec))
+    monkeypatch.setattr(token_counts, "resolve", lambda name: str(path))
+    counts, tok = token_counts.Counts("added.json", {}), Tokenizer.from_file(str(path))
+    for text in ("a <|end|>more b", "x  foo y food  foo", "<|endoftext|><|end|>foo<|end|>more", "no marks at all", "foo", " <|end|> \n foo! "):
+        assert counts.text(text) == len(tok.encode(text, add_special_tokens=False)), text

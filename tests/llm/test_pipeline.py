@@ -118,3 +118,16 @@ def test_pipeline_keeps_unrelated_rows_without_ids(spark):
             assert sorted(got) == want
         else:  # which row of a class stays is by id; the number of classes is not
             assert len(got) == len(want)
+
+
+def test_pipeline_leaves_one_table(spark):
+    """What the stages cut on their way, and the rows of all stages but the last, are deleted."""
+    import os
+
+    import corpus_pipeline
+    from plumbline.session import shared_folder
+
+    home = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(home)) if os.path.exists(home) else set()
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert len(set(os.listdir(home)) - before) == 1 and out.count() > 0

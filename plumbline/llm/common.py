@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 
 from ..session import Cut, partitions, ready, shared_folder  # noqa: F401  partitions: for the operators
 
-BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Settings of Arrow batches: Spark's default, and what is set instead.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
 #: The largest arrays are mapped and freed one by one, not kept in a worker's heap.
 WORKER_MEMORY = {"MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": str(16 << 20), "MALLOC_TRIM_THRESHOLD_": str(32 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"}
-SLICE_BYTES = 1 << 21  # of text that a kernel holds at once; one longer text is held alone
+SLICE_BYTES = 1 << 19  # of text that a kernel holds at once; one longer text is held alone
 
 
 # ---------------------------------------------------------------- Spark helpers
@@ -31,12 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def prepare(spark: SparkSession) -> SparkSession:
     """Python workers find this package and give memory back; the folder for cut tables is known.
 
-    Arrow batches of 10,000 rows, Spark's default, would hold 10,000 whole texts at once, on both
-    sides of the pipe; unless the session sets another number, 1000 rows are sent at a time.
+    Arrow batches of 10,000 rows or 64 MB, Spark's defaults, would hold that many whole texts at once, on
+    both sides of the pipe; unless the session sets others, 1000 rows or 8 MB (or one longer text) are sent
+    at a time.
     """
     ready(spark)
-    if spark.conf.get(BATCH_ROWS) == "10000":
-        spark.conf.set(BATCH_ROWS, "1000")
+    for name, (default, own) in BATCHES.items():
+        if spark.conf.get(name) == default:
+            spark.conf.set(name, own)
     for name, value in WORKER_MEMORY.items():
         spark.sparkContext.environment.setdefault(name, value)
     shared_folder(spark)

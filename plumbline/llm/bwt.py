@@ -14,8 +14,12 @@ import numpy as np
 
 def gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The ranges of ``data`` one after another."""
+    return data[ranges(start, size)]
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     ends = np.cumsum(size)
-    return data[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)]
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - size), size)
 
 
 @dataclass

@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -261,6 +262,33 @@ def test_repeats(spark, hot_chunks, chunk_bytes):
     assert got == brute_repeats([(-1 if r["doc_id"] is None else r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()])
 
 
+@pytest.mark.parametrize("hot_contexts,part_bytes", [(2, 2 << 20), (1 << 16, 300), (2, 100)])
+def test_repeats_with_hot_contexts_and_parts(spark, hot_contexts, part_bytes):
+    rng = np.random.default_rng(6)
+    piece = "".join(rng.choice(list("abcdé"), 90))
+    texts = ["".join(rng.choice(list("xyz"), 40)) + piece + "".join(rng.choice(list("xyz"), 40)) for _ in range(40)] + [(piece + "-") * 30]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffix_dedup.remove_repeats(docs, chunk_bytes=2000, hot_contexts=hot_contexts, part_bytes=part_bytes).collect()
+    got = sorted((r["doc_id"], r["n_bytes"], r["n_removed"], len(r["starts"]), hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in got)
+    assert got == brute_repeats([(i, t.encode()) for i, t in enumerate(texts)])
+
+
+def test_messages_of_chunks_grow_with_the_input():
+    small, large = (-(-total // suffix_dedup.chunk_size(total)) for total in (1_000_000_000, 10_000_000_000))
+    assert large**2 < 11 * small**2  # chunks times buckets, over ten times the text
+    assert suffix_dedup.chunk_size(0) == suffix_dedup.CHUNK and suffix_dedup.chunk_size(10**15) == suffix_dedup.MOST
+
+
+def test_an_anchor_is_hot_by_its_contexts():
+    rng = np.random.default_rng(7)
+    line = "".join(rng.choice(list("abcd"), 60))
+    texts = ["".join(rng.choice(list("wxyz"), 60)) + line + "".join(rng.choice(list("wxyz"), 60)) for _ in range(2 * suffix_dedup.WIDE)]
+    docs = pa.table({"chunk": [0] * len(texts), "id": list(range(len(texts))), "text": texts})
+    lists = suffix_dedup._hash_lists(50, 1)(docs)
+    hot = {n: int(np.unpackbits(np.frombuffer(suffix_dedup._answers(4096, n)(lists)["hot"][0].as_py(), np.uint8)).sum()) for n in (1, 2 * suffix_dedup.WIDE)}
+    assert hot[1] > 0 and hot[2 * suffix_dedup.WIDE] == 0  # in one chunk, but next to other bytes in each text
+
+
 STRINGS = [b"banana", b"ananas", b"bandana", b"an\x00an\x00", b"an", b"", b"nab\x00\x00", b"nab\x00"]
 
 
